@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import simhash
-from quern.llm.common import table
+from quern.llm import line_dedup, simhash, token_store
+from quern.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,3 +19,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_simhash"] = op6_simhash
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_line_dedup"] = op7_line_dedup
+ORACLES["op7_line_dedup"] = line_dedup.SQL
+
+
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_store.read_back(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "n_chunks")
+
+
+QUERIES["op1_token_store"] = op1_token_store
