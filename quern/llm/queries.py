@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import line_dedup, simhash, token_store
+from quern.llm import cap_filters, line_dedup, simhash, token_counts, token_store
 from quern.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,18 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_token_store"] = op1_token_store
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op2_token_counts"] = op2_token_counts
+
+
+def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op3_cap_filters"] = op3_cap_filters
+ORACLES["op3_cap_filters"] = cap_filters.SQL
