@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import cap_filters, line_dedup, simhash, token_counts, token_store
+from quern.llm import cap_filters, decontaminate, html_text, line_dedup, simhash, token_counts, token_store
 from quern.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,17 @@ def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op3_cap_filters"] = op3_cap_filters
 ORACLES["op3_cap_filters"] = cap_filters.SQL
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op8_html_text"] = op8_html_text
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op9_decontamination"] = op9_decontamination
