@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import cap_filters, decontaminate, html_text, line_dedup, simhash, token_counts, token_store
+from quern.llm import cap_filters, decontaminate, html_text, language_id, line_dedup, mixing, simhash, token_counts, token_store
 from quern.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,35 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_decontamination"] = op9_decontamination
+
+
+#: Shares of tokens that the mixing query aims for, by the domains that the table of labels names.
+MIX = {"good": 0.90, "low": 0.08, "toxic": 0.02}
+
+
+def label_domain() -> Column:
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "low")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_domain(), MIX)
+    return rows.select("doc_id", "n_tokens", "p", "rate", "copies")
+
+
+QUERIES["op4_mixing"] = op4_mixing
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both documents and pages: a document declares its lang and its source is its host; a page declares its markup's."""
+    docs = table(spark, sf_dir, "documents")
+    none = F.lit(None).cast("string")
+    first = docs.select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), none.alias("address"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html", language_id.declared_of(F.col("html")).alias("declared"), language_id.host_of(F.col("url")).alias("host"))
+    texts = html_text.extracted(pages, "html", ("page_id", "declared", "host"))
+    second = texts.select(F.lit(None).cast("long").alias("doc_id"), "page_id", "text", "declared", "host", F.col("host").alias("address"))
+    model = language_id.fit_text_model(docs, "doc_id", "text", F.col("lang"))
+    found = language_id.identified(first.unionAll(second), model, "text", F.col("declared"), F.col("host"), F.col("address"), keep=["doc_id", "page_id"])
+    return found.select("doc_id", "page_id", F.col("lid_lang").alias("lang"), F.col("lid_confidence").alias("confidence"), F.col("lid_accepted").alias("accepted"))
+
+
+QUERIES["op10_language_id"] = op10_language_id
