@@ -20,29 +20,36 @@ from __future__ import annotations
 import hashlib
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import pieces, scratch_path, texts_of
+from quern.llm.common import pieces, scratch_path
 
 FANOUT = 256
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 1024
+_PUNCTUATION = ".,;:!?"
+#: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))} | {32: 32}
 
 
 class Encoder:
-    """The tokenizers library over whole texts, with ids of space-separated segments kept between calls.
+    """The tokenizers library over whole texts, with the ids of space-separated segments kept between calls.
 
     The vocabulary's pre-tokenizer always cuts between a non-space, one space and a non-space, so ids
     of "a b" are those of "a" and of " b". Texts in which white space touches a space are encoded whole.
+    Arrow splits texts and finds their distinct segments; the library sees each of these once, as long
+    as it is kept: of segments not seen lately, up to KEPT are dropped at a time.
     """
 
-    KEPT = 250_000
+    KEPT = 300_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,56 +61,91 @@ class Encoder:
         self.opens = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.opens[i] = token.startswith("Ġ")  # the byte-level alphabet's space
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.marks = dict(zip(_PUNCTUATION, self.plain(list(_PUNCTUATION))))
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, segments: list[str]) -> None:
-        """Ids of " " + segment for each; None where a segment doesn't stand alone."""
-        known = self.known
-        if len(known) > self.KEPT:
-            known.clear()
-        good = []
+        """Ids of " " + segment for each; None where a segment doesn't stand alone.
+
+        A run of Latin letters is one pre-token with the space before it, and punctuation after it
+        another, so these go to the library's model directly and share the ids of their word.
+        """
+        known, general, bare, marked = self.known, [], [], []
         for s in segments:
-            if not s or s[0].isspace() or s[-1].isspace():
+            if s.isalpha() and max(s) < "\u0250":
+                bare.append(s)
+            elif s[:-1].isalpha() and s[-1] in _PUNCTUATION and max(s) < "\u0250":
+                marked.append(s)
+            elif not s or s[0].isspace() or s[-1].isspace():
                 known[s] = None
             else:
-                good.append(s)
-        for i in range(0, len(good), 2000):
-            part = good[i : i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+                general.append(s)
+        older = self.older
+        cores = {s[:-1] for s in marked}
+        cores.difference_update(bare)
+        for w in [w for w in cores if w in older and w not in known]:
+            known[w] = older[w]
+        bare += [w for w in cores if w not in known]
+        tokenize, dtype = self.tokenizer.model.tokenize, self.dtype
+        mapped = " ".join(bare).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ") if bare else []
+        for w, m in zip(bare, mapped):
+            known[w] = array(self.code, [t.id for t in tokenize("Ġ" + m)]).tobytes()
+        for s in marked:
+            known[s] = known[s[:-1]] + self.marks[s[-1]]
+        for i in range(0, len(general), 2000):
+            part = general[i : i + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype)
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(part):
-                raw, size = ids.tobytes(), self.dtype.itemsize
+                raw, size = ids.tobytes(), dtype.itemsize
                 at = [*(cuts * size).tolist(), len(raw)]
                 known.update(zip(part, (raw[a:b] for a, b in zip(at, at[1:]))))
             else:
                 known.update(zip(part, self.plain([" " + s for s in part])))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each whole text, as bytes of self.dtype."""
-        split = [x.split(" ") for x in texts]
-        new = {s for parts in split for s in parts[1:]}.difference(self.known)
-        if len(self.known) + len(new) > self.KEPT:
-            self.known.clear()
-            new = {s for parts in split for s in parts[1:]}
-        if new:
-            self._learn(list(new))
-        get, out, whole = self.known.__getitem__, [b""] * len(texts), []
-        heads = []
-        for i, parts in enumerate(split):
-            ids = [get(s) for s in parts[1:]]
-            if len(parts) > 1 and (not parts[0] or parts[0][-1].isspace() or None in ids):
-                whole.append(i)
-            else:
-                out[i] = b"".join(ids)
-                heads.append(i)
-        for i, head in zip(heads, self.plain([split[i][0] for i in heads])):
-            out[i] = head + out[i]
-        for i, ids in zip(whole, self.plain([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+    def _of(self, segments: list[str]) -> list[bytes | None]:
+        if len(self.known) > self.KEPT:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for s in segments:
+            if s not in known:
+                if s in older:
+                    known[s] = older[s]
+                else:
+                    new.append(s)
+        self._learn(new)
+        return [known[s] for s in segments]
+
+    def encode(self, texts: pa.Array, rows: int = 1000) -> Iterator[np.ndarray]:
+        """The ids of each whole text in turn; null is the empty text."""
+        texts = texts.fill_null("")
+        split = pa.compute.split_pattern(texts, " ")
+        starts = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        segments = coded.dictionary.to_pylist()
+        heads = [segments[i] for i in at[starts[:-1]].tolist()]
+        at[starts[:-1]] = len(segments) + np.arange(len(heads))
+        found = self._of(segments)
+        bad = np.array([x is None for x in found] + [not h or h[-1].isspace() for h in heads])
+        runs = [x or b"" for x in found] + self.plain(heads)
+        lens = np.fromiter(map(len, runs), np.int64, len(runs)) // self.dtype.itemsize
+        pool, first = np.frombuffer(b"".join(runs), self.dtype), np.cumsum(lens) - lens
+        for a in range(0, len(heads), rows):
+            own = starts[a : a + rows + 1]
+            here, inner = at[own[0] : own[-1]], own - own[0]
+            times = lens[here]
+            ends = np.cumsum(times)
+            ids = pool[np.repeat(first[here] - ends + times, times) + np.arange(int(ends[-1]))]
+            bounds = [0, *ends[inner[1:] - 1].tolist()]
+            whole = np.logical_or.reduceat(bad[here], inner[:-1]) & (np.diff(inner) > 1)
+            for k, (i, j, redo) in enumerate(zip(bounds, bounds[1:], whole.tolist())):
+                yield np.frombuffer(self.plain([texts[a + k].as_py()])[0], self.dtype) if redo else ids[i:j]
 
 
 @lru_cache(maxsize=2)
@@ -145,14 +187,14 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        size, end = own.dtype.itemsize, np.array([end_id], own.dtype).tobytes()
+        size, end = own.dtype.itemsize, np.array([end_id], own.dtype)
         for whole in batches:
             chunks: dict[bytes, bytes] = {}
-            for batch in pieces(whole):
+            for batch in pieces(whole, rows=16_384, size=32 << 20):
                 n, hashes, lens = [], [], []
-                for raw in own.encode(texts_of(batch.column(1))):
-                    raw += end
-                    ends = cut_points(np.frombuffer(raw, own.dtype))
+                for ids in own.encode(batch.column(1)):
+                    ids = np.append(ids, end)
+                    raw, ends = ids.tobytes(), cut_points(ids)
                     parts = [raw[a * size : b * size] for a, b in zip([0, *ends], ends)]
                     at = [address(p) for p in parts]
                     chunks.update(zip(at, parts))
