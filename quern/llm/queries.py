@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import cap_filters, decontaminate, html_text, language_id, line_dedup, mixing, simhash, token_counts, token_store
+from quern.llm import cap_filters, context_mixing, decontaminate, html_text, language_id, line_dedup, mixing, simhash, token_counts, token_store
 from quern.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_language_id"] = op10_language_id
+
+
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.scored(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_context_mixing"] = op5_context_mixing
