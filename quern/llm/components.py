@@ -23,7 +23,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component): for each node with an edge, the smallest node that it reaches.
+    """(node, component): for each node but the smallest of its component, the smallest node that it reaches.
 
     edges: two columns of longs, undirected, repeats and loops allowed. Alternates large-star and
     small-star steps (Kiveris et al., SoCC 2014) until every node hangs on its component's smallest

@@ -5,7 +5,7 @@ block, the largest part that it can add to an item's score there. Scores are BM2
 own threshold: the item's score of itself less its heaviest words, as many as an overlap of SIMILARITY
 of its five-word shingles can lose. So every item that could pass verification scores 1 at least, and
 one cut-off holds for all. Every document is cut into passages that overlap by half and are twice as
-long as the longest item of a length class. Words whose parts together can't lift any item to 1 need no
+long as the longest item of a length class; an item is found where one passage holds enough of it. Words whose parts together can't lift any item to 1 need no
 lookup (the non-essential words of WAND); a passage meets a block only if its essential words' block
 maxima plus the block's largest non-essential rest reach 1. Such blocks are scored in full; items at 1
 or more are verified by the share of question shingles, and of answer shingles where there is an

@@ -46,7 +46,7 @@ def memberships(docs: DataFrame, model: GramModel, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        prior = np.log(own.rows / own.rows.sum())
+        prior = np.log((own.rows + 1) / (own.rows + 1).sum())
         for whole in batches:
             for batch in pieces(whole):
                 texts = texts_of(batch.column(1))

@@ -67,7 +67,8 @@ def fit_on_sample(model: GramModel, docs: DataFrame, key: str, text_col: str, sa
     """Fits on the texts of a bounded sample; they are read on the driver one partition at a time."""
     labels = dict(sample)
     ids = docs.sparkSession.createDataFrame([(k,) for k in labels], "__key long")
-    own = docs.select(F.col(key).cast("long").alias("__key"), F.col(text_col).cast("string").alias("text")).join(ids, "__key", "left_semi")
+    rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text_col).cast("string").alias("text"))
+    own = rows.join(F.broadcast(ids), "__key", "left_semi")  # no larger than the sample
     for r in own.toLocalIterator():
         model.learn([r["text"]], [labels[r["__key"]]])
     return model.fitted()
