@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from quern.plans import table_queries, text_queries
+from quern.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Gated, deduplicated documents with noisy variants, split and scored."""
+    return table_queries.training_pairs(spark, sf_dir)

@@ -1,0 +1,214 @@
+"""HTTP with limits and retries, and a paged rows API as a Spark data source."""
+
+from __future__ import annotations
+
+import ipaddress
+import json
+import re
+import socket
+import time
+import urllib.error
+import urllib.parse
+import urllib.request
+import urllib.robotparser
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+
+class RequestFailed(Exception):
+    """This request is skipped."""
+
+
+class Stopped(Exception):
+    """This source is stopped."""
+
+
+@dataclass
+class Reply:
+    status: int
+    headers: dict[str, str]
+    body: bytes
+
+
+def fetch(url: str, *, timeout: float = 30.0, most: int = 64 << 20, data: bytes | None = None, headers: dict[str, str] | None = None, redirects: int = 5) -> Reply:
+    """One request: size limit, a limited number of redirects, and no credentials or body to another host."""
+    host = urllib.parse.urlsplit(url).netloc
+
+    class Redirects(urllib.request.HTTPRedirectHandler):
+        max_redirections = redirects
+
+        def redirect_request(self, req, fp, code, msg, head, new):
+            out = super().redirect_request(req, fp, code, msg, head, new)
+            if out is not None and urllib.parse.urlsplit(new).netloc != host:
+                out.remove_header("Authorization")
+                out.data = None
+            return out
+
+    request = urllib.request.Request(url, data=data, headers=headers or {})
+    try:
+        with urllib.request.build_opener(Redirects).open(request, timeout=timeout) as r:
+            status, head, body = r.status, dict(r.headers.items()), r.read(most + 1)
+    except urllib.error.HTTPError as e:
+        status, head, body = e.code, dict(e.headers.items()), e.read(most + 1)
+    except (urllib.error.URLError, TimeoutError, ConnectionError, socket.timeout) as e:
+        raise RequestFailed(type(e).__name__) from None
+    if len(body) > most:
+        raise RequestFailed("the body is too large")
+    if (n := head.get("Content-Length")) and n.isdigit() and int(n) > len(body):
+        raise RequestFailed("the body is short")
+    return Reply(status, {k.lower(): v for k, v in head.items()}, body)
+
+
+def retry_after(value: str | None, most: float = 300.0) -> float | None:
+    try:
+        return None if value is None else min(most, max(0.0, float(value)))
+    except ValueError:
+        return None
+
+
+def is_daily_quota(body: bytes) -> bool:
+    return bool(re.search(rb"(?i)per[ -_]?day|daily", body[:4096]))
+
+
+@dataclass
+class Session:
+    """Retries with growing pauses, a rate limit, and a breaker that stops a source after failures in a row."""
+
+    rpm: float = 60.0
+    tries: int = 5
+    breaker: int = 5
+    send: Callable[..., Reply] = fetch
+    sleep: Callable[[float], None] = time.sleep
+    clock: Callable[[], float] = time.monotonic
+    failures: int = 0
+    ready: float = field(default=0.0)
+
+    def request(self, url: str, **options) -> Reply:
+        for attempt in range(self.tries):
+            if (wait := self.ready - self.clock()) > 0:
+                self.sleep(wait)
+            self.ready = self.clock() + 60 / self.rpm
+            pause = min(60.0, 2.0**attempt)
+            try:
+                reply = self.send(url, **options)
+            except RequestFailed:
+                reply = None
+            if reply is not None:
+                if reply.status in (401, 403):
+                    raise Stopped(f"status {reply.status}")
+                if reply.status == 429 and is_daily_quota(reply.body):
+                    raise Stopped("the daily quota is used up")
+                if reply.status < 400 or reply.status == 404:
+                    self.failures = 0
+                    return reply
+                if reply.status != 429 and reply.status < 500:
+                    raise RequestFailed(f"status {reply.status}")
+                pause = retry_after(reply.headers.get("retry-after")) or pause
+            if attempt + 1 < self.tries:
+                self.sleep(pause)
+        self.failures += 1
+        if self.failures >= self.breaker:
+            raise Stopped(f"{self.failures} requests failed in a row")
+        raise RequestFailed("no reply after all tries")
+
+
+def is_local_endpoint(url: str) -> bool:
+    """Whether an address stays on this machine or private networks."""
+    host = urllib.parse.urlsplit(url).hostname or ""
+    if host == "localhost" or host.endswith(".local"):
+        return True
+    try:
+        ip = ipaddress.ip_address(host)
+    except ValueError:
+        return False
+    ip = getattr(ip, "ipv4_mapped", None) or ip
+    return ip.is_loopback or ip.is_private or ip in ipaddress.ip_network("100.64.0.0/10") if ip.version == 4 else ip.is_loopback or ip.is_private
+
+
+def allowed(robots: str | None, agent: str, url: str) -> bool:
+    """Whether a robots.txt lets an agent read an address; a missing file allows all."""
+    if robots is None:
+        return True
+    parser = urllib.robotparser.RobotFileParser()
+    parser.parse(robots.splitlines())
+    return parser.can_fetch(agent, url)
+
+
+def page_key(revision: str, offset: int) -> str:
+    return f"rows-{revision}-{offset:07d}.json"
+
+
+def record_at(read: Callable[[int, int], bytes], size: int, offset: int, step: int = 256 << 10, most: int = 4 << 20) -> bytes | None:
+    """The first whole line that starts after offset (at it for zero); read(start, end) gives bytes. None at the end."""
+    data, at = b"", offset
+    start = 0 if offset == 0 else None
+    while at < size:
+        data += read(at, min(size, at + step))
+        at = min(size, at + step)
+        if start is None and (i := data.find(b"\n")) >= 0:
+            start = i + 1
+        if start is not None and (j := data.find(b"\n", start)) >= 0:
+            return data[start:j]
+        if len(data) > most:
+            raise RequestFailed("the record is too long")
+    return data[start:] or None if start is not None else None
+
+
+@dataclass
+class _Page(InputPartition):
+    offset: int
+
+    def __init__(self, offset: int) -> None:
+        super().__init__(offset)
+        self.offset = offset
+
+
+class RowsReader(DataSourceReader):
+    """A partition a page; the revision is checked before the first page, and the total on every page."""
+
+    def __init__(self, options: dict) -> None:
+        self.url, self.length = options["url"].rstrip("/"), int(options.get("length", 100))
+        self.revision, self.rpm = options.get("revision"), float(options.get("rpm", 600))
+        self.pages = int(options["pages"]) if "pages" in options else None
+
+    def _json(self, session: Session, path: str) -> dict:
+        reply = session.request(f"{self.url}/{path}")
+        if reply.status != 200:
+            raise RequestFailed(f"status {reply.status}")
+        return json.loads(reply.body)
+
+    def partitions(self) -> list[InputPartition]:
+        session = Session(rpm=self.rpm)
+        if self.revision and (found := self._json(session, "revision")["sha"]) != self.revision:
+            raise Stopped(f"revision {found} isn't the pinned one")
+        self.total = self._json(session, f"rows?offset=0&length={self.length}")["num_rows_total"]
+        return [_Page(o) for o in range(0, max(1, self.total), self.length)][: self.pages]
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        got, end = partition.offset, min(self.total, partition.offset + self.length)
+        session = Session(rpm=self.rpm)
+        while got < end:
+            page = self._json(session, f"rows?offset={got}&length={end - got}")
+            if page["num_rows_total"] != self.total:
+                raise Stopped("the number of rows has changed")
+            if not page["rows"]:
+                raise Stopped("an empty page before the end")
+            for r in page["rows"]:
+                yield (r["row_idx"], json.dumps(r["row"], ensure_ascii=False))
+            got += len(page["rows"])
+
+
+class RowsSource(DataSource):
+    """spark.dataSource.register(RowsSource); spark.read.format("paged_rows").option("url", ...).load()"""
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_rows"
+
+    def schema(self) -> str:
+        return "row_idx long, row string"
+
+    def reader(self, schema) -> RowsReader:
+        return RowsReader(self.options)
