@@ -23,6 +23,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import sub
 
 import numpy as np
 import public_tokenizers
@@ -75,11 +76,11 @@ class Encoder:
         A run of Latin letters is one pre-token with the space before it, and punctuation after it
         another, so these go to the library's model directly and share the ids of their word.
         """
-        known, general, bare, marked = self.known, [], [], []
+        known, marks, general, bare, marked = self.known, self.marks, [], [], []
         for s in segments:
-            if s.isalpha() and max(s) < "\u0250":
+            if s.isalpha() and (s.isascii() or max(s) < "\u0250"):
                 bare.append(s)
-            elif s[:-1].isalpha() and s[-1] in _PUNCTUATION and max(s) < "\u0250":
+            elif s[-1:] in marks and s[:-1].isalpha() and (s.isascii() or max(s) < "\u0250"):
                 marked.append(s)
             elif not s or s[0].isspace() or s[-1].isspace():
                 known[s] = None
@@ -92,9 +93,10 @@ class Encoder:
             known[w] = older[w]
         bare += [w for w in cores if w not in known]
         tokenize, dtype = self.tokenizer.model.tokenize, self.dtype
-        mapped = " ".join(bare).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ") if bare else []
-        for w, m in zip(bare, mapped):
-            known[w] = array(self.code, [t.id for t in tokenize("Ġ" + m)]).tobytes()
+        other = [w for w in bare if not w.isascii()]
+        mapped = " ".join(other).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ") if other else []
+        pairs = zip([w for w in bare if w.isascii()] + other, [w for w in bare if w.isascii()] + mapped)
+        known.update((w, array(self.code, [t.id for t in tokenize("Ġ" + m)]).tobytes()) for w, m in pairs)
         for s in marked:
             known[s] = known[s[:-1]] + self.marks[s[-1]]
         for i in range(0, len(general), 2000):
@@ -111,18 +113,15 @@ class Encoder:
     def _of(self, segments: list[str]) -> list[bytes | None]:
         if len(self.known) > self.KEPT:
             self.known, self.older = {}, self.known
-        known, older, new = self.known, self.older, []
-        for s in segments:
-            if s not in known:
-                if s in older:
-                    known[s] = older[s]
-                else:
-                    new.append(s)
-        self._learn(new)
-        return [known[s] for s in segments]
-
-    def encode(self, texts: pa.Array, rows: int = 1000) -> Iterator[np.ndarray]:
-        """The ids of each whole text in turn; null is the empty text."""
+        known, older = self.known, self.older
+        new = [s for s in segments if s not in known]
+        seen = [s for s in new if s in older]
+        known.update(zip(seen, map(older.__getitem__, seen)))
+        self._learn([s for s in new if s not in known])
+        return list(map(known.__getitem__, segments))
+
+    def encode(self, texts: pa.Array, end: bytes = b"", rows: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of whole texts in turn, as many texts at a time as rows says: all ids, and how many are each text's. Null is the empty text; end follows each text."""
         texts = texts.fill_null("")
         split = pa.compute.split_pattern(texts, " ")
         starts = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
@@ -131,9 +130,14 @@ class Encoder:
         segments = coded.dictionary.to_pylist()
         heads = [segments[i] for i in at[starts[:-1]].tolist()]
         at[starts[:-1]] = len(segments) + np.arange(len(heads))
-        found = self._of(segments)
-        bad = np.array([x is None for x in found] + [not h or h[-1].isspace() for h in heads])
-        runs = [x or b"" for x in found] + self.plain(heads)
+        runs = self._of(segments) + self.plain(heads) + [end]
+        bad = np.zeros(len(runs), bool)
+        if None in runs:
+            bad[[i for i, x in enumerate(runs) if x is None]] = True
+            runs = [x or b"" for x in runs]
+        bad[[len(segments) + i for i, h in enumerate(heads) if not h or h[-1].isspace()]] = True
+        at = np.insert(at, starts[1:], len(runs) - 1)
+        starts += np.arange(len(starts))
         lens = np.fromiter(map(len, runs), np.int64, len(runs)) // self.dtype.itemsize
         pool, first = np.frombuffer(b"".join(runs), self.dtype), np.cumsum(lens) - lens
         for a in range(0, len(heads), rows):
@@ -142,10 +146,14 @@ class Encoder:
             times = lens[here]
             ends = np.cumsum(times)
             ids = pool[np.repeat(first[here] - ends + times, times) + np.arange(int(ends[-1]))]
-            bounds = [0, *ends[inner[1:] - 1].tolist()]
-            whole = np.logical_or.reduceat(bad[here], inner[:-1]) & (np.diff(inner) > 1)
-            for k, (i, j, redo) in enumerate(zip(bounds, bounds[1:], whole.tolist())):
-                yield np.frombuffer(self.plain([texts[a + k].as_py()])[0], self.dtype) if redo else ids[i:j]
+            sizes = np.add.reduceat(times, inner[:-1])
+            whole = np.logical_or.reduceat(bad[here], inner[:-1]) & (np.diff(inner) > 2)
+            if whole.any():
+                parts = np.split(ids, np.cumsum(sizes)[:-1])
+                for k in np.flatnonzero(whole).tolist():
+                    parts[k] = np.frombuffer(self.plain([texts[a + k].as_py()])[0] + end, self.dtype)
+                ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+            yield ids, sizes
 
 
 @lru_cache(maxsize=2)
@@ -158,24 +166,38 @@ def _gear() -> np.ndarray:
     return np.random.default_rng(20240501).integers(0, 1 << 63, 1 << 16, np.uint64)
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of an id stream: where the rolling hash of the last WINDOW ids has its low bits zero, LEAST to MOST ids apart."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
+def cut_points(ids: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
+    """For each of the streams that stand in ids one after the other, the ends of its chunks.
+
+    A chunk ends where the rolling hash of the last WINDOW ids has its low bits zero, LEAST to MOST ids
+    apart. As LEAST is more than WINDOW, no hash that decides a cut reaches into the stream before.
+    """
     g = _gear()[ids & 0xFFFF]
-    h = np.zeros(n, np.uint64)
-    for k in range(WINDOW):
-        h[k:] += g[: n - k] << np.uint64(k)
-    ends, start = [], 0
-    for c in [*(np.flatnonzero((h >> np.uint64(40)) % MEAN == 0) + 1).tolist(), n]:
-        while c - start > MOST:
+    h = np.zeros(len(ids), np.uint64)
+    for k in range(min(WINDOW, len(ids))):
+        h[k:] += g[: len(ids) - k] << np.uint64(k)
+    marks = np.flatnonzero((h >> np.uint64(40)) % MEAN == 0) + 1
+    stops = np.cumsum(sizes)
+    lows = np.searchsorted(marks, stops - sizes, "right").tolist()
+    highs = np.searchsorted(marks, stops, "left").tolist()
+    marks, out = marks.tolist(), []
+    for n, stop, low, high in zip(sizes.tolist(), stops.tolist(), lows, highs):
+        start = base = stop - n
+        ends = []
+        for c in marks[low:high]:
+            while c - start > MOST:
+                start += MOST
+                ends.append(start - base)
+            if c - start >= LEAST:
+                start = c
+                ends.append(c - base)
+        while stop - start > MOST:
             start += MOST
-            ends.append(start)
-        if c - start >= LEAST or c == n and c > start:
-            ends.append(c)
-            start = c
-    return ends
+            ends.append(start - base)
+        if stop > start:
+            ends.append(n)
+        out.append(ends)
+    return out
 
 
 def address(payload: bytes) -> bytes:
@@ -187,18 +209,19 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        size, end = own.dtype.itemsize, np.array([end_id], own.dtype)
+        size, end = own.dtype.itemsize, np.array([end_id], own.dtype).tobytes()
         for whole in batches:
             chunks: dict[bytes, bytes] = {}
             for batch in pieces(whole, rows=16_384, size=32 << 20):
                 n, hashes, lens = [], [], []
-                for ids in own.encode(batch.column(1)):
-                    ids = np.append(ids, end)
-                    raw, ends = ids.tobytes(), cut_points(ids)
-                    parts = [raw[a * size : b * size] for a, b in zip([0, *ends], ends)]
-                    at = [address(p) for p in parts]
-                    chunks.update(zip(at, parts))
-                    n.append(ends[-1]), hashes.append(b"".join(at)), lens.append(np.diff([0, *ends]).astype("<u4").tobytes())
+                for ids, sizes in own.encode(batch.column(1), end):
+                    raw, start = ids.tobytes(), 0
+                    for count, ends in zip(sizes.tolist(), cut_points(ids, sizes)):
+                        parts = [raw[(start + a) * size : (start + b) * size] for a, b in zip([0, *ends], ends)]
+                        at = [address(p) for p in parts]
+                        chunks.update(zip(at, parts))
+                        n.append(count), hashes.append(b"".join(at)), lens.append(array("I", map(sub, ends, [0, *ends])).tobytes())
+                        start += count
                 k = batch.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array(["doc"] * k), batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()), pa.array(lens, pa.binary())], names=["kind", "doc_id", "n_tokens", "hashes", "body"])
                 if sum(map(len, chunks.values())) > 4 << 20:

@@ -27,8 +27,24 @@ def test_encoder_gives_the_ids_of_whole_texts():
     own.KEPT = 40  # segments are dropped and learned again
     for seed in range(20):
         texts = odd_texts(30, seed)
-        assert [x.tobytes() for x in own.encode(pa.array(texts))] == own.plain(texts)
-    assert [len(x) for x in own.encode(pa.array([None, ""]))] == [0, 0]
+        for end in (b"", b"\2\0"):
+            found = [part.tobytes() for ids, sizes in own.encode(pa.array(texts), end, 7) for part in np.split(ids, np.cumsum(sizes)[:-1])]
+            assert found == [x + end for x in own.plain(texts)]
+    assert [sizes.tolist() for _, sizes in own.encode(pa.array([None, ""]))] == [[0, 0]]
+
+
+def test_cut_points_depend_on_content_alone():
+    r = np.random.default_rng(1)
+    streams = [r.integers(0, 50_000, n) for n in (1, 63, 64, 65, 3000, 20_000, 5)]
+    streams.append(np.zeros(5000, np.int64))
+    sizes = np.array([len(s) for s in streams])
+    together = token_store.cut_points(np.concatenate(streams), sizes)
+    assert together == [token_store.cut_points(s, np.array([len(s)]))[0] for s in streams]
+    for n, ends in zip(sizes.tolist(), together):
+        lens = np.diff([0, *ends])
+        assert ends[-1] == n and lens.max() <= token_store.MOST and (lens[:-1] >= token_store.LEAST).all()
+    moved = token_store.cut_points(np.concatenate([r.integers(0, 50_000, 100), streams[5]]), np.array([20_100]))[0]
+    assert len(set(e - 100 for e in moved) & set(together[5])) > 0.9 * len(together[5])
 
 
 def expected(rows):
