@@ -28,6 +28,8 @@ LANGUAGES = ("de", "en", "es", "fr")
 #: Rows of each language that the text model is fitted on.
 SAMPLE = 400
 TRUST, HOST_WEIGHT, DOMAIN_WEIGHT, EVIDENCE_WEIGHT, LEAST = 0.1, 4.0, 16.0, 1.0, 0.5
+#: Tables of votes of so many keys at most are broadcast, so that rows with their texts stay where they are; larger ones are joined by a shuffle.
+SMALL = 50_000
 _OWN = ["lid_n", "lid_ll", "lid_best", "lid_declared", "lid_suffix", "lid_host", "lid_domain"]
 
 
@@ -102,7 +104,8 @@ def identified(docs: DataFrame, model: GramModel, text_col: str = "text", declar
     share = F.array(*[F.lit(x / sum(base)) for x in base])
     joined = rows
     for key, name in (("lid_host", "lid_h"), ("lid_domain", "lid_d"), ("lid_suffix", "lid_s"), ("lid_declared", "lid_c")):
-        joined = joined.join(_votes(rows, key, names, name), key, "left")
+        votes = written(_votes(rows, key, names, name), "votes")
+        joined = joined.join(F.broadcast(votes) if votes.count() <= SMALL else votes, key, "left")
     zero = F.array(*[F.lit(0.0)] * len(names))
     less = lambda c: F.transform(F.zip_with(F.coalesce(F.col(c), zero), one, lambda a, b: a - b), lambda x: F.greatest(x, F.lit(0.0)))
 
