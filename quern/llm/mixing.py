@@ -8,7 +8,7 @@ document weighs its tokens, and rates are projected to 0..most. A step needs onl
 the driver holds one residual for each step and every task replays the steps on its rows: no row is
 moved, nothing grows with the corpus.
 
-A null or empty text has no tokens and the classifier's mean posterior, and changes no total. A null
+A null or empty text has no tokens and the posterior of no words, and changes no total. A null
 doc_id is sampled like any other. Repeated rows each have a rate. Domains without a labelled row, and an
 empty table of labels, are an error; an empty table of documents gives no rows. Columns of the input
 other than the id are read only through the text.
@@ -24,35 +24,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import pieces, texts_of, written
-from quern.llm.textclass import GramModel, bounded_sample, fit_on_sample
+from quern.llm.textclass import WordModel, bounded_sample, fit_on_sample
 
 #: Labelled rows of each domain that the classifier is fitted on.
 SAMPLE = 1000
-TRUST, START, STEPS, CLOSE = 0.02, 1.0, 60, 1e-4
+START, STEPS, CLOSE = 1.0, 60, 1e-4
 SEED = "mixing"
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, label: Column, domains: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> GramModel:
+def fit_domains(docs: DataFrame, labels: DataFrame, label: Column, domains: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> WordModel:
     """The domain classifier from at most so many labelled rows of each domain."""
     chosen = bounded_sample(labels, id_col, label, domains, sample)
     if missing := set(domains) - {d for _, d in chosen}:
         raise ValueError(f"no labelled rows for the domains {sorted(missing)}")
-    return fit_on_sample(GramModel(domains, orders=(4, 5), bits=17), docs, id_col, text_col, chosen)
+    named = labels.groupBy(label.alias("d")).count().filter(F.col("d").isin(domains)).collect()
+    total = sum(r["count"] for r in named)
+    return fit_on_sample(WordModel(domains), docs, id_col, text_col, chosen, shares={r["d"]: r["count"] / total for r in named})
 
 
-def memberships(docs: DataFrame, model: GramModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def memberships(docs: DataFrame, model: WordModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, same, n_tokens, p): words and posterior of every row; same is the hash of its text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        prior = np.log((own.rows + 1) / (own.rows + 1).sum())
         for whole in batches:
             for batch in pieces(whole):
                 texts = texts_of(batch.column(1))
-                logs = np.array([own.scores(x)[1][:-1] for x in texts]).reshape(len(texts), len(prior)) * TRUST + prior
-                p = np.exp(logs - logs.max(1, keepdims=True))
-                p /= p.sum(1, keepdims=True)
+                p = own.posteriors(texts)
                 n = [len(x.encode("utf-8", "surrogatepass").split()) for x in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(p.tolist(), pa.list_(pa.float64()))], names=["doc_id", "same", "n_tokens", "p"])
 
@@ -111,7 +110,10 @@ def fit_rates(rows: DataFrame, weights: dict[str, float], domains: list[str], bu
             break
         white = second / scale + 0.02 * full + 1e-9 * np.eye(k)
         steps.append(np.linalg.solve(white, (totals - targets) / scale))
+        before = totals
         totals, second = moments(steps)
+        if np.abs(totals - before).max() <= CLOSE * max(1.0, budget):
+            break  # rates at their bounds keep the targets out of reach
     return steps, totals, targets
 
 

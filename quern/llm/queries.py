@@ -69,7 +69,7 @@ QUERIES["op9_decontamination"] = op9_decontamination
 
 
 #: Shares of tokens that the mixing query aims for, by the domains that the table of labels names.
-MIX = {"good": 0.90, "low": 0.08, "toxic": 0.02}
+MIX = {"good": 0.94, "low": 0.04, "toxic": 0.02}
 
 
 def label_domain() -> Column:

@@ -1,7 +1,9 @@
-"""A hashed byte n-gram classifier: naive Bayes tables of bounded size, fitted on a bounded sample."""
+"""Text classifiers with tables of fixed size, fitted on a bounded sample: byte n-grams by naive Bayes, words by logistic regression."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +65,73 @@ def bounded_sample(rows: DataFrame, key: str, label: Column, classes: list[str],
     return out
 
 
-def fit_on_sample(model: GramModel, docs: DataFrame, key: str, text_col: str, sample: list[tuple[int, str]]) -> GramModel:
-    """Fits on the texts of a bounded sample; they are read on the driver one partition at a time."""
+def fit_on_sample(model, docs: DataFrame, key: str, text_col: str, sample: list[tuple[int, str]], **options):
+    """Fits a model on the texts of a bounded sample; they are read on the driver one partition at a time."""
     labels = dict(sample)
     ids = docs.sparkSession.createDataFrame([(k,) for k in labels], "__key long")
     rows = docs.select(F.col(key).cast("long").alias("__key"), F.col(text_col).cast("string").alias("text"))
     own = rows.join(F.broadcast(ids), "__key", "left_semi")  # no larger than the sample
     for r in own.toLocalIterator():
         model.learn([r["text"]], [labels[r["__key"]]])
-    return model.fitted()
+    return model.fitted(**options)
+
+
+_WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+
+
+class WordModel:
+    """Multinomial logistic regression on which hashed words a text holds; the size of its table is fixed."""
+
+    def __init__(self, classes: list[str], bits: int = 16, ridge: float = 1e-4, rounds: int = 150) -> None:
+        self.classes, self.bits, self.ridge, self.rounds = list(classes), bits, ridge, rounds
+        self.weights = np.zeros((1 << bits, len(classes)))
+        self.bias = np.zeros(len(classes))
+        self.rows = np.zeros(len(classes))
+        self._held: list[tuple[np.ndarray, int]] = []
+
+    def features(self, text: str | None) -> np.ndarray:
+        mask, crc = (1 << self.bits) - 1, zlib.crc32
+        return np.fromiter({crc(w) & mask for w in (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()}, np.int64)
+
+    def learn(self, texts: list[str | None], classes: list[str]) -> None:
+        for text, name in zip(texts, classes):
+            self._held.append((np.sort(self.features(text)), self.classes.index(name)))
+            self.rows[self.classes.index(name)] += 1
+
+    def _logits(self, at: np.ndarray, row: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        scale = 1 / np.sqrt(np.maximum(sizes, 1))
+        sums = np.stack([np.bincount(row, self.weights[at, k], len(sizes)) for k in range(len(self.classes))], axis=1)
+        return sums * scale[:, None] + self.bias
+
+    def fitted(self, shares: dict[str, float] | None = None) -> "WordModel":
+        """Gradient steps with per-weight rates; shares: the classes' shares where the model is used, if the sample has others."""
+        held, self._held = sorted(self._held, key=lambda x: (x[1], len(x[0]), x[0].tobytes())), []
+        if held:
+            sizes = np.array([len(f) for f, _ in held])
+            at, row, y = np.concatenate([f for f, _ in held]), np.repeat(np.arange(len(held)), sizes), np.array([k for _, k in held])
+            scale = 1 / np.sqrt(np.maximum(sizes, 1))
+            weight = (1 / np.maximum(self.rows, 1))[y] / len(self.classes)
+            squares, wide = np.full_like(self.weights, 1e-8), np.full_like(self.bias, 1e-8)
+            for _ in range(self.rounds):
+                p = _softmax(self._logits(at, row, sizes))
+                p[np.arange(len(y)), y] -= 1
+                p *= weight[:, None]
+                grad = np.stack([np.bincount(at, (p[:, k] * scale)[row], len(self.weights)) for k in range(len(self.classes))], axis=1) + self.ridge * self.weights
+                squares += grad**2
+                wide += (g := p.sum(0)) ** 2
+                self.weights -= 0.5 * grad / np.sqrt(squares)
+                self.bias -= 0.1 * g / np.sqrt(wide)
+        if shares:
+            self.bias = self.bias + np.log([max(shares.get(c, 0.0), 1e-6) for c in self.classes])
+        self.weights = self.weights.astype(np.float32)
+        return self
+
+    def posteriors(self, texts: list[str | None]) -> np.ndarray:
+        own = [self.features(x) for x in texts]
+        sizes = np.array([len(f) for f in own], np.int64)
+        return _softmax(self._logits(np.concatenate([np.empty(0, np.int64), *own]), np.repeat(np.arange(len(own)), sizes), sizes))
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)

@@ -141,7 +141,7 @@ def test_url_parts(spark):
 
 
 def test_mixing_reaches_its_targets(spark, prose):
-    rows = [(i, t + (" bad" * 9 if i % 4 == 0 else " fine" * 9)) for i, t in enumerate(prose(400, 21, 40))] + [(500, None), (501, "")]
+    rows = [(i, t + (" bad worse awful dire poor" if i % 4 == 0 else " fine good nice sound well")) for i, t in enumerate(prose(400, 21, 40))] + [(500, None), (501, "")]
     docs = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, rate double")
     labels = spark.createDataFrame([(i, "bad" if i % 4 == 0 else "fine") for i in range(0, 400, 3)] + [(9999, "bad"), (2, None)], "doc_id long, d string")
     got = mixing.mixed(docs, labels, F.col("d"), {"bad": 0.5, "fine": 0.5}).collect()
