@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
@@ -25,27 +25,27 @@ def variants(df: DataFrame, id_col: str, text_col: str, n: int, seed: str, least
 
 
 def words_at(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, start, word): every word with its offset in code points."""
-    seg = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), segments(F.col(text_col)).alias("seg"))
-    starts = F.aggregate(F.col("seg"), F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x))))
-    rows = seg.select("id", "text", F.explode(F.arrays_zip(F.slice(starts, F.lit(1), F.size("seg")).alias("start"), F.col("seg").alias("word"))).alias("w"))
-    return rows.select("id", "text", F.col("w.start").alias("start"), F.col("w.word").alias("word")).filter(F.col("word").rlike(rf"^{fixed.LETTER}"))
+    """(id, start, word, before): every word with its offset in code points and what stands between it and the word before; ids are unique."""
+    seg = df.select(F.col(id_col).alias("id"), F.posexplode(segments(F.col(text_col))).alias("pos", "word"))
+    w = Window.partitionBy("id").orderBy("pos")
+    start = F.coalesce(F.sum(F.length("word")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return seg.select("id", start.alias("start"), "word", F.lag("word").over(w).alias("before")).filter(F.col("word").rlike(rf"^{fixed.LETTER}"))
 
 
 def sentence_start(before: Column) -> Column:
-    """Whether what stands before a place is nothing, or ends a sentence or line."""
+    """Whether a word opens a sentence or line, from what stands before it; null at the start of a text."""
     cut = F.regexp_replace(before, r"[ \t\"'“‘”’()]+\z", "")
-    return (cut == "") | cut.rlike(r"[.!?\n]\z")
+    return before.isNull() | cut.rlike(r"[.!?\n]\z")
 
 
 def lowercase_candidates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, start, end, replacement): words with a capital first, inside sentences, that are neither "I" nor all capitals."""
     w = words_at(df, id_col, text_col)
-    word = F.col("word")
+    word, start = F.col("word"), F.col("start")
     acronym = (F.length(word) > 1) & (word == F.upper(word)) & (word != F.lower(word))
-    inside = ~sentence_start(F.substring(F.col("text"), F.lit(1), F.col("start").cast("int")))
-    rows = w.filter(word.rlike(r"^\p{Lu}") & (word != "I") & ~acronym & inside)
-    return rows.select("id", "start", (F.col("start") + F.length(word)).alias("end"), F.concat(F.lower(F.substring(word, 1, 1)), F.substring(word, F.lit(2), F.length(word))).alias("replacement"))
+    opens = sentence_start(F.col("before")) | ((start == F.length("before")) & (F.regexp_replace("before", r"[ \t\"'“‘”’()]+\z", "") == ""))
+    rows = w.filter(word.rlike(r"^\p{Lu}") & (word != "I") & ~acronym & ~opens)
+    return rows.select("id", "start", (start + F.length(word)).alias("end"), F.concat(F.lower(F.substring(word, 1, 1)), F.substring(word, F.lit(2), F.length(word))).alias("replacement"))
 
 
 def fat_finger(df: DataFrame, id_col: str, text_col: str, seed: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Two sets whose Jaccard index is at least 4/5 share a token among the first n - ceil(4n/5) + 1 of each,
 in any one order of tokens; rare tokens come first, so buckets stay small. Equal sets are joined as one
-set (copies cost nothing), candidates pass a size filter, and the index is checked in integers.
+set (copies cost nothing), candidates pass a size filter, and the index is checked in integers. Ids
+are unique.
 """
 
 from __future__ import annotations

@@ -159,10 +159,11 @@ def record_at(read: Callable[[int, int], bytes], size: int, offset: int, step: i
 @dataclass
 class _Page(InputPartition):
     offset: int
+    total: int
 
-    def __init__(self, offset: int) -> None:
+    def __init__(self, offset: int, total: int) -> None:
         super().__init__(offset)
-        self.offset = offset
+        self.offset, self.total = offset, total
 
 
 class RowsReader(DataSourceReader):
@@ -183,15 +184,15 @@ class RowsReader(DataSourceReader):
         session = Session(rpm=self.rpm)
         if self.revision and (found := self._json(session, "revision")["sha"]) != self.revision:
             raise Stopped(f"revision {found} isn't the pinned one")
-        self.total = self._json(session, f"rows?offset=0&length={self.length}")["num_rows_total"]
-        return [_Page(o) for o in range(0, max(1, self.total), self.length)][: self.pages]
+        total = self._json(session, f"rows?offset=0&length={self.length}")["num_rows_total"]
+        return [_Page(o, total) for o in range(0, max(1, total), self.length)][: self.pages]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        got, end = partition.offset, min(self.total, partition.offset + self.length)
+        got, end = partition.offset, min(partition.total, partition.offset + self.length)
         session = Session(rpm=self.rpm)
         while got < end:
             page = self._json(session, f"rows?offset={got}&length={end - got}")
-            if page["num_rows_total"] != self.total:
+            if page["num_rows_total"] != partition.total:
                 raise Stopped("the number of rows has changed")
             if not page["rows"]:
                 raise Stopped("an empty page before the end")

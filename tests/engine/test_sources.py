@@ -1,0 +1,147 @@
+"""Readers, writers, configuration, HTTP and streams."""
+
+import json
+import threading
+import time
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import parse_qs, urlsplit
+
+import pytest
+
+from quern.sources import config, jsonl, web
+from quern.streaming.rules import gated
+
+
+def test_json_lines(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    path.write_text('﻿{"id": 1, "t": "é"}\n\n{"id": 2}\n', "utf-8")
+    rows = jsonl.read_jsonl(spark, str(path), "id long, t string")
+    assert [tuple(r) for r in rows.orderBy("id").collect()] == [(1, "é"), (2, None)]
+    jsonl.write_jsonl(rows, str(tmp_path / "out"), "id")
+    jsonl.append_jsonl(rows, str(tmp_path / "out"))
+    text = "".join(p.read_text("utf-8") for p in sorted((tmp_path / "out").glob("*.json")))
+    assert text.count('{"id":1,"t":"é"}') == 2 and text.count('{"id":2}') == 2
+    path.write_text('{"id": 1}\n{"id": ', "utf-8")
+    with pytest.raises(Exception):
+        jsonl.read_jsonl(spark, str(path), "id long").collect()
+    assert jsonl.read_jsonl(spark, str(path), "id long", torn=True).filter("id IS NOT NULL").count() == 1
+
+
+def test_seeds_terms_pages(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("# c\n\n one\\ntwo \n", "utf-8")
+    row = jsonl.read_seeds(spark, str(tmp_path / "s.txt")).first()
+    assert (row["text"], row["source"], row["license"], row["writer"]) == ("one\ntwo", "s.txt", "MIT", "v1")
+    (tmp_path / "t.txt").write_text("a # x\n# y\n b c \n", "utf-8")
+    assert [r["term"] for r in jsonl.read_terms(spark, str(tmp_path / "t.txt")).collect()] == ["a", "b c"]
+    assert {r["word"] for r in jsonl.read_dictionary(spark, str(tmp_path / "t.txt")).collect()} == {"a # x", "b c"}
+    (tmp_path / "p.json").write_text(json.dumps({"src": [[{"text": "x"}], [{"text": "y"}]]}), "utf-8")
+    assert [r["text"] for r in jsonl.read_pages(spark, str(tmp_path / "p.json"), "src", "text: string").collect()] == ["x", "y"]
+
+
+def test_configuration(spark):
+    good = '[[category]]\nid = "a"\nname = "A"\nhas_signoff = true\nlengths = {short = 0.5, medium = 0.25, long = 0.25}\n'
+    row = config.categories(spark, good).first()
+    assert row["id"] == "a" and row["lengths"]["short"] == 0.5 and row["has_signoff"]
+    for bad in (good + good, good.replace("0.5", "0.6"), good.replace(", long = 0.25", "")):
+        with pytest.raises(ValueError):
+            config.categories(spark, bad)
+    assert [w["name"] for w in config.writers('[writer.b]\nkind = "import"\n[writer.a]\nkind = "openai"\nbase_url = "http://x"')] == ["a", "b"]
+    for bad in ('[writer.a]\nkind = "openai"', '[writer.a]\nkind = "x"'):
+        with pytest.raises(ValueError):
+            config.writers(bad)
+    row = config.sources(spark, '[source.s]\nadapter = "x"\nseeds = 3\nextra = 1').first()
+    assert (row["name"], row["seeds"], row["options"]) == ("s", 3, {"extra": "1"})
+    assert config.over_request(10) == 13 and config.candidates(10, 2, 1.5) == (4, 15)
+    with pytest.raises(LookupError):
+        config.license_of({}, "s")
+
+
+@pytest.fixture
+def server():
+    state = {"total": 250, "sha": "abc", "seen": []}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            u = urlsplit(self.path)
+            state["seen"].append(u.path)
+            body, code = b"{}", 200
+            if u.path == "/revision":
+                body = json.dumps({"sha": state["sha"]}).encode()
+            elif u.path == "/rows":
+                q = {k: int(v[0]) for k, v in parse_qs(u.query).items()}
+                n = min(q["length"], 70)
+                body = json.dumps({"num_rows_total": state["total"], "rows": [{"row_idx": i, "row": {"t": f"é{i}"}} for i in range(q["offset"], min(state["total"], q["offset"] + n))]}).encode()
+            elif u.path == "/busy":
+                code = 503 if state["seen"].count("/busy") < 3 else 200
+            elif u.path == "/secret":
+                code = 403
+            elif u.path == "/gone":
+                code = 404
+            self.send_response(code)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    httpd = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=httpd.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{httpd.server_port}", state
+    httpd.shutdown()
+
+
+def test_paged_rows(spark, server):
+    url, state = server
+    spark.dataSource.register(web.RowsSource)
+    read = lambda **o: spark.read.format("paged_rows").options(url=url, rpm="60000", **o).load()
+    rows = read(revision="abc").collect()
+    assert sorted(r["row_idx"] for r in rows) == list(range(250)) and json.loads(rows[0]["row"])["t"].startswith("é")
+    assert read(pages="1").count() == 100
+    with pytest.raises(Exception, match="pinned"):
+        read(revision="other").collect()
+
+
+def test_session(server):
+    url, state = server
+    naps = []
+    s = web.Session(rpm=60000, sleep=naps.append)
+    assert s.request(f"{url}/busy").status == 200 and [n for n in naps if n >= 1] == [1.0, 2.0]
+    assert s.request(f"{url}/gone").status == 404
+    with pytest.raises(web.Stopped):
+        s.request(f"{url}/secret")
+
+    def dead(u, **o):
+        raise web.RequestFailed("x")
+
+    s = web.Session(rpm=1e9, tries=1, breaker=2, send=dead, sleep=lambda x: None)
+    with pytest.raises(web.RequestFailed):
+        s.request("u")
+    with pytest.raises(web.Stopped):
+        s.request("u")
+    with pytest.raises(web.RequestFailed, match="large"):
+        web.fetch(f"{url}/revision", most=3)
+
+
+def test_web_helpers():
+    assert web.retry_after("7") == 7 and web.retry_after("9999") == 300 and web.retry_after("x") is None
+    assert web.is_daily_quota(b"limit per day") and not web.is_daily_quota(b"slow down")
+    local = {"http://localhost:1": True, "http://10.0.0.3": True, "http://100.64.0.1": True, "http://[::1]": True, "http://[::ffff:192.168.0.1]": True, "https://8.8.8.8": False, "https://x.example": False}
+    assert {u: web.is_local_endpoint(u) for u in local} == local
+    assert web.allowed(None, "a", "http://x/y") and not web.allowed("User-agent: *\nDisallow: /y", "a", "http://x/y")
+    assert web.page_key("r", 12) == "rows-r-0000012.json"
+    data = b"first\nsecond\nthird"
+    read = lambda a, b: data[a:b]
+    assert [web.record_at(read, len(data), o, 4) for o in (0, 1, 7, 14)] == [b"first", b"second", b"third", None]
+    with pytest.raises(web.RequestFailed):
+        web.record_at(lambda a, b: b"x" * (b - a), 100, 0, 10, 20)
+
+
+def test_stream_gives_what_batch_gives(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(["A fine text that is long enough.", "# Head and more of it here", "write to a@b.example.org please now"])]
+    df = spark.createDataFrame(rows, "id long, text string")
+    df.write.parquet(str(tmp_path / "in"))
+    name = f"gated_{int(time.time() * 1000)}"
+    q = gated(spark.readStream.schema("id long, text string").parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, gated(df).collect()))
