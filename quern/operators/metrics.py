@@ -87,9 +87,9 @@ def calibration(df: DataFrame, suite: str, verdict: str) -> DataFrame:
 
 
 def runs(c: Column, n: int) -> Column:
-    """All runs of n words, in lower case."""
-    w = words(F.lower(c))
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    """All runs of n words, in lower case. The words are bound to a lambda's variable, so they are split once."""
+    every = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+    return F.flatten(F.transform(F.array(words(F.lower(c))), lambda w: F.when(F.size(w) >= n, every(w)).otherwise(F.array().cast("array<string>"))))
 
 
 def verbatim(df: DataFrame, others: DataFrame, id_col: str, text_col: str, other_id: str, other_text: str, n: int) -> DataFrame:
