@@ -50,7 +50,7 @@ class Encoder:
     as it is kept: of segments not seen lately, up to KEPT are dropped at a time.
     """
 
-    KEPT = 300_000
+    KEPT = 200_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -212,7 +212,7 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int
         size, end = own.dtype.itemsize, np.array([end_id], own.dtype).tobytes()
         for whole in batches:
             chunks: dict[bytes, bytes] = {}
-            for batch in pieces(whole, rows=16_384, size=32 << 20):
+            for batch in pieces(whole, rows=16_384, size=16 << 20):
                 n, hashes, lens = [], [], []
                 for ids, sizes in own.encode(batch.column(1), end):
                     raw, start = ids.tobytes(), 0
