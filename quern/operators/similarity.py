@@ -45,8 +45,9 @@ def _set_pairs(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
     """(a, b) of near distinct sets: a < b within one table, or a of left and b of right."""
     every = left if right is None else left.unionAll(right)
     rarity = every.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    a = _prefixes(left, rarity).select(F.col("set_id").alias("a"), F.col("size").alias("m"), "token")
-    b = (_prefixes(left if right is None else right, rarity)).select(F.col("set_id").alias("b"), F.col("size").alias("n"), "token")
+    own = checkpointed(_prefixes(left, rarity))
+    a = own.select(F.col("set_id").alias("a"), F.col("size").alias("m"), "token")
+    b = (own if right is None else _prefixes(right, rarity)).select(F.col("set_id").alias("b"), F.col("size").alias("n"), "token")
     fits = F.least("m", "n") * _DOWN >= F.greatest("m", "n") * _UP
     pairs = a.join(b, "token").filter(fits if right is not None else fits & (F.col("a") < F.col("b"))).select("a", "b").distinct()
     x, y = left.select(F.col("set_id").alias("a"), F.col("tokens").alias("x")), (left if right is None else right).select(F.col("set_id").alias("b"), F.col("tokens").alias("y"))
