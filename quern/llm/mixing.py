@@ -16,6 +16,7 @@ other than the id are read only through the text.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from quern.llm.textclass import WordModel, bounded_sample, fit_on_sample
 SAMPLE = 1000
 START, STEPS, CLOSE = 1.0, 60, 1e-4
 SEED = "mixing"
+_LOG = logging.getLogger(__name__)
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, label: Column, domains: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> WordModel:
@@ -74,7 +76,8 @@ def fit_rates(rows: DataFrame, weights: dict[str, float], domains: list[str], bu
     """The steps that give every row its rate, the totals they reach and the targets.
 
     weights: target shares by domain, positive. budget: tokens to reach; default: for unbounded rates
-    the corpus's own, else the largest that rates up to most can reach in every domain.
+    the corpus's own, else the largest that rates up to most can reach in the domain of the largest
+    share, so scarce domains of small shares don't lower it; their targets are at most all they have.
     """
     k = len(domains)
     share = np.array([weights[d] for d in domains], float)
@@ -102,8 +105,8 @@ def fit_rates(rows: DataFrame, weights: dict[str, float], domains: list[str], bu
     totals, second = moments(steps)
     full = second / max(1.0, totals.sum())
     if budget is None:
-        budget = totals.sum() if np.isinf(most) else float((most * totals / START / share).min())
-    targets = share * budget
+        budget = totals.sum() if np.isinf(most) else float((most * totals / START / share)[share >= share.max() * (1 - 1e-9)].min())
+    targets = share * budget if np.isinf(most) else np.minimum(share * budget, most * totals / START)
     scale = max(1.0, totals.sum())
     for _ in range(STEPS):
         if np.abs(totals - targets).max(initial=0) <= CLOSE * max(1.0, budget):
@@ -126,7 +129,10 @@ def mixed(docs: DataFrame, labels: DataFrame, label: Column, weights: dict[str,
     domains = sorted(weights)
     model = fit_domains(docs, labels, label, domains, id_col=id_col, text_col=text_col)
     rows = written(memberships(docs, model, id_col, text_col), "memberships")
-    steps, _, _ = fit_rates(rows, weights, domains, budget, most)
+    steps, totals, targets = fit_rates(rows, weights, domains, budget, most)
+    said = ", ".join(f"{d} {t:.0f} of {g:.0f}" for d, t, g in zip(domains, totals, targets))
+    far = np.abs(totals - targets).max(initial=0) > 0.01 * max(1.0, targets.sum())
+    _LOG.log(logging.WARNING if far else logging.INFO, "expected tokens of targets after %d steps: %s", len(steps), said)
     k = len(domains)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
