@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local: list[str] = []
 
@@ -39,6 +40,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def same_text(text_col: str = "text") -> Column:
+    """The hash of a row's text; with its id, what tells rows apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def in_rows(docs: DataFrame, chosen: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs with (left_semi) or without (left_anti) their (doc_id, same) in chosen; null ids are equal."""
+    keys = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("same").alias("chosen_same"))
+    match = F.col(id_col).cast("long").eqNullSafe(F.col("chosen_id")) & (same_text(text_col) == F.col("chosen_same"))
+    return docs.join(keys, match, how)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """A text column as Python strings; null counts as the empty text."""
     return [x or "" for x in column.to_pylist()]

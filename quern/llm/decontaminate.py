@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import pieces, written
+from quern.llm.common import pieces, same_text, written
 
 K1, B = 1.2, 0.75
 SHINGLE, SIMILARITY, BLOCK, SHARD = 5, 0.8, 16, 4 << 20
@@ -175,10 +175,10 @@ def _shards(items: DataFrame, id_col: str, question_col: str, answer_col: str |
     yield shard
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", question_col: str = "text", answer_col: str | None = None) -> DataFrame:
-    """(doc_id, contaminated, n_items, item_ids) for every row of docs; item_ids ascending."""
+def contaminated_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", question_col: str = "text", answer_col: str | None = None) -> DataFrame:
+    """(doc_id, same, item_ids) for every row of docs: same is the hash of its text, item_ids ascend."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), same_text(text_col).alias("same"), F.col(text_col).cast("string").alias("text"))
     parts = []
     for shard in _shards(items, item_id, question_col, answer_col):
         index = spark.sparkContext.broadcast(Index(shard))
@@ -186,12 +186,22 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch in pieces(whole):
-                    found = [index.value.matches(x) for x in batch.column(1).to_pylist()]
-                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "item_ids"])
-
-        parts.append(rows.mapInArrow(run, "doc_id long, item_ids array<long>"))
-    out = parts[0]
-    if len(parts) > 1:  # with several shards, rows that repeat a doc_id become one
-        merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids"))))
-        out = written(reduce(DataFrame.unionAll, parts), "shards").groupBy("doc_id").agg(merged.alias("item_ids"))
+                    found = [index.value.matches(x) for x in batch.column(2).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "same", "item_ids"])
+
+        parts.append(rows.mapInArrow(run, "doc_id long, same long, item_ids array<long>"))
+    if len(parts) == 1:
+        return parts[0]
+    # every shard gives each row once; rows of one id and text match the same items
+    found = written(reduce(DataFrame.unionAll, parts), "shards")
+    items_of = found.select("doc_id", "same", F.explode("item_ids").alias("item")).groupBy("doc_id", "same").agg(F.sort_array(F.collect_set("item")).alias("found"))
+    times = found.groupBy("doc_id", "same").agg((F.count("*") / len(parts)).cast("long").alias("times"))
+    match = times["doc_id"].eqNullSafe(items_of["doc_id"]) & (times["same"] == items_of["same"])
+    both = times.join(items_of, match, "left").select(times["doc_id"], times["same"], "times", F.coalesce("found", F.expr("cast(array() as array<bigint>)")).alias("item_ids"))
+    return both.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc_id", "same", "item_ids")
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", question_col: str = "text", answer_col: str | None = None) -> DataFrame:
+    """(doc_id, contaminated, n_items, item_ids) for every row of docs; item_ids ascending."""
+    out = contaminated_rows(docs, items, id_col, text_col, item_id, question_col, answer_col)
     return out.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").cast("long").alias("n_items"), "item_ids")
