@@ -1,0 +1,21 @@
+"""The language model keeps the ratio of two outcomes that were both seen very often."""
+
+import numpy as np
+import pytest
+
+from quern.llm import context_mixing
+
+
+def test_frequent_outcomes_keep_their_ratio(spark):
+    """Word a 900,000 times, word b 90,000 times: both outcomes of the first letter go beyond 16 bits."""
+    train = spark.createDataFrame([(bytearray(b"a"), 900_000), (bytearray(b"b"), 90_000)], "word binary, c long")
+    coder = context_mixing.Coder(context_mixing._paths(train))
+    table = context_mixing._held(context_mixing._tables(train, coder))
+    a, b = context_mixing.word_scores([b"a", b"b"], coder, table, context_mixing._learned(train, coder, spark.sparkContext.broadcast(table)))
+    assert 0.7 < a - b < 1.3  # clipped apart at 65,535 the two outcomes look alike
+
+
+def test_counts_beyond_32_bits():
+    full = np.array([[1 << 40], [1 << 37]], np.int64)
+    t = context_mixing._held(full)
+    assert context_mixing._inputs(t[0][None], t[1][None])[0, 0] == pytest.approx(-3 * np.log(2), abs=1e-4)
