@@ -453,9 +453,8 @@ def contract_share(spark, d):
 
 @query("pair_filter")
 def pair_filter(spark, d):
-    """The first failing rule of pairs of a text's first forty words and noise: cheap rules first, the diff after them."""
-    head = documents(spark, d).select("doc_id", F.array_join(F.slice(T.words(F.col("text")), 1, 40), " ").alias("text"))
-    pairs = noise.variants(head, "doc_id", "text", 1, SEED)
+    """The first failing rule of pairs of a whole text and noise: cheap rules first, the diff after them."""
+    pairs = noise.variants(documents(spark, d), "doc_id", "text", 1, SEED)
     n, m = T.n_words(F.col("input")), T.n_words(F.col("output"))
     pairs = pairs.withColumns({"edits": E.word_edits(F.col("input"), F.col("output")), "kinds": E.kinds_of_edits(F.col("input"), F.col("output"))})
     clean = F.coalesce(rules.wrapper_reason(F.col("input")), rules.known_error_reason(F.col("input")), rules.length_reason(F.col("input"), max_chars=fixed.PAIR_CHARS))
