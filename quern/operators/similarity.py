@@ -74,18 +74,17 @@ def first_near(df: DataFrame, others: DataFrame, id_col: str, text_col: str, oth
     return df.select(F.col(id_col).alias("id")).join(found, "id", "left")
 
 
-def greedy_kept(df: DataFrame, id_col: str, text_col: str, rounds: int = 100) -> DataFrame:
+def greedy_kept(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, kept): in order of id, a row is kept unless it is near a row kept before.
 
     The lexicographically first maximal independent set of the near graph, in rounds: undecided sets
-    near a kept smaller one go; undecided sets with no undecided smaller neighbour stay. Rows without
+    near a kept smaller one go; undecided sets with no undecided smaller neighbour stay. The smallest
+    undecided set settles in every round, so rounds go on until none is left. Rows without
     tokens are kept; of equal sets only the first can be.
     """
     edges = checkpointed(near_pairs(df, id_col, text_col))
     state = checkpointed(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
-    for _ in range(rounds):
-        if state.filter("kept IS NULL").isEmpty():
-            break
+    while not state.filter("kept IS NULL").isEmpty():
         smaller = edges.join(state.select(F.col("node").alias("a"), F.col("kept").alias("a_kept")), "a")
         seen = smaller.groupBy(F.col("b").alias("node")).agg(F.max(F.coalesce("a_kept", F.lit(False))).alias("beaten"), F.max(F.col("a_kept").isNull()).alias("waits"))
         now = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("beaten", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True)
