@@ -7,7 +7,10 @@ short, or long without stop words, stays open. The second pass gives an open blo
 nearest decided neighbour, counted in blocks. Blocks in the containers named above are no neighbours:
 they decide only themselves. An article or main element bounds the search: blocks outside it are
 boilerplate and open blocks inside it inherit within it; where nothing is decided they are text, so
-short articles and tables of words survive.
+short articles and tables of words survive. A class, id or role counts by its whole names ("comments",
+"site-nav"); names that remark on the page ("has-sidebar") and other attributes say nothing. A notice
+that no end tag closes ends where an article starts; an article in a closed container of that kind is
+part of it.
 
 A null page is the empty text. Rows that repeat a page each have their row; an empty table gives no
 rows. Other columns of the input are not read.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,12 +40,23 @@ ARTICLE = frozenset("article main".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+CONTAINERS = BLOCK | {"section"}
+#: Elements that hold the article, whatever their class.
+KEPT = ARTICLE | {"body", "html"}
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Containers whose class, id or role says that they hold no article text.
-_NOT_TEXT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banner|promo(?:tion)?s?|sponsor(?:ed)?|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side-?bar|widgets?|footer|masthead|site-?header|page-?header|toolbar|pagination|pager|share|sharing|social|related|recommended|comments?|comment-?list|respond|replies|disqus|login|signup|search|skip|contentinfo|complementary)(?:$|[\s_-])"
+#: What a class, id or role calls containers that hold no article text: a whole name, or a part of one between hyphens.
+NOT_TEXT = frozenset(
+    (
+        "ad ads advert adverts advertisement advertisements adsense banner promo promos promotion promotions sponsor sponsored cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
+        "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars widget widgets footer masthead siteheader pageheader toolbar pagination pager share sharing social related recommended "
+        "comment comments commentlist respond replies disqus login signup search skip contentinfo complementary"
+    ).split()
 )
+#: Parts that make of a name a remark on the page ("has-sidebar", "comments-closed"), so that it names no container.
+_REMARKS = frozenset("has have no non not with without is hide hides hidden show shows closed open opened enabled disabled on off free count counts allowed active inactive".split())
+#: Names of two parts that hold no article text only together.
+_TOGETHER = frozenset({("site", "header"), ("page", "header"), ("side", "bar")})
 #: Frequent function words of the languages served.
 STOP = frozenset(
     (
@@ -57,7 +72,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|$))|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
-_HINT = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
 @dataclass(slots=True)
@@ -68,23 +83,57 @@ class Block:
     scope: int  # the article around it, 0 for none
 
 
+def _names_no_text(name: str) -> bool:
+    """Whether one name of a class, id or role is that of a container without article text."""
+    parts = re.split(r"[-_]+", name.strip("-_"))
+    if not _REMARKS.isdisjoint(parts):
+        return False
+    return not NOT_TEXT.isdisjoint(parts) or any(x in _TOGETHER for x in zip(parts, parts[1:]))
+
+
 def _says_no_text(name: str, rest: str, article: bool) -> bool:
+    """What the element's name and its own class, id, role and hidden attributes say. An article, body or html element never says so by its class."""
     if name in AWAY or name == "header" and not article:
         return True
-    for m in _HINT.finditer(rest) if "=" in rest or "hidden" in rest.lower() else ():
+    if not rest.strip(" /"):
+        return False
+    for m in _ATTRIBUTE.finditer(rest):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true":
+        if key == "hidden" and value != "false" or key == "aria-hidden" and value == "true":
             return True
-        if key in ("class", "id", "role") and name not in ("body", "html") and _NOT_TEXT.search(value):
+        if key in ("class", "id", "role") and name not in KEPT and any(map(_names_no_text, value.split())):
             return True
     return False
 
 
+def _stacked(name: str, rest: str) -> bool:
+    return name not in VOID and not rest.endswith("/") and name not in ("p", "li", "dt", "dd", "tr", "td", "th", "option")
+
+
+def _left_open(tags: list[re.Match]) -> set[int]:
+    """Places in tags of the containers that no end tag of their own closes."""
+    stack: list[tuple[str, int]] = []
+    out: set[int] = set()
+    for i, m in enumerate(tags):
+        name = m["name"].lower()
+        if m["end"]:
+            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            if at is not None:
+                out.update(k for _, k in stack[at + 1 :])
+                del stack[at:]
+        elif _stacked(name, m["rest"]):
+            stack.append((name, i))
+    return out | {k for _, k in stack}
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # name, holds no article text, article
+    stack: list[tuple[str, bool, int, int]] = []  # name, holds no article text, article, place among the containers' tags
     scopes, link, links, parts, away, scope, at = 0, 0, 0, [], False, 0, 0
+    tokens = list(_TOKEN.finditer(page))
+    tags = [m for m in tokens if (m["name"] or "").lower() in CONTAINERS]
+    left_open: set[int] | None = None
 
     def close() -> None:
         nonlocal links, parts
@@ -93,7 +142,8 @@ def blocks(page: str) -> list[Block]:
             out.append(Block(text, links, away, scope))
         parts, links = [], 0
 
-    for m in _TOKEN.finditer(page):
+    place = -1
+    for m in tokens:
         if m.start() > at:
             parts.append(page[at : m.start()])
             if link:
@@ -103,32 +153,47 @@ def blocks(page: str) -> list[Block]:
             continue
         if name == "a":
             link = 0 if m["end"] else 1
+        if name not in CONTAINERS:
+            continue
+        place += 1
         if name in BLOCK:
             close()
             link = 0 if name not in ("br",) else link
-        elif name not in ("section",):
-            continue
         if m["end"]:
             names = [s[0] for s in stack]
             if name in names:
                 del stack[len(names) - 1 - names[::-1].index(name) :]
-        elif name not in VOID and not m["rest"].endswith("/") and name not in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
+        elif _stacked(name, m["rest"]):
             no = _says_no_text(name, m["rest"], bool(scope))
-            if name in ARTICLE and not no and stack and not scope:
-                stack = [(s, False if s not in AWAY else no, k) for s, no, k in stack]  # a notice left open ends before the article
+            if name in ARTICLE and not no and not scope and any(s[1] for s in stack):
+                left_open = _left_open(tags) if left_open is None else left_open
+                stack = _without_open_notices(stack, left_open)
             if name in ARTICLE and not no:
-                scopes += not scope
-                stack.append((name, no, scope or scopes))
+                inside = any(s[1] for s in stack)
+                scopes += not scope and not inside
+                stack.append((name, no, scope or (0 if inside else scopes), place))
             else:
-                stack.append((name, no, scope))
+                stack.append((name, no, scope, place))
         elif name in ("p", "li", "td", "th") and m["rest"] and _says_no_text(name, m["rest"], bool(scope)):
-            stack.append((name, True, scope))
+            stack.append((name, True, scope, place))
         away, scope = any(s[1] for s in stack), stack[-1][2] if stack else 0
     parts.append(page[at:])
     close()
     return out
 
 
+def _without_open_notices(stack: list[tuple[str, bool, int, int]], left_open: set[int]) -> list[tuple[str, bool, int, int]]:
+    """The open containers around an article: of those of a name, as many as no end tag closes are notices left open, innermost first, and end before the article."""
+    spare = Counter(s[0] for s in stack if s[3] in left_open)
+    out = []
+    for name, no, scope, place in reversed(stack):
+        if no and spare[name]:
+            spare[name] -= 1
+            no = False
+        out.append((name, no, scope, place))
+    return out[::-1]
+
+
 def _first_pass(block: Block) -> int:
     """1 text, -1 boilerplate, 0 open."""
     words = block.text.lower().split()
