@@ -52,6 +52,24 @@ def in_rows(docs: DataFrame, chosen: DataFrame, how: str, id_col: str = "doc_id"
     return docs.join(keys, match, how)
 
 
+#: A key of at least so many rows, and of at least a thousandth of all rows, is hot; so at most a thousand keys are.
+HOT_ROWS = 10_000
+
+
+def with_labels(rows: DataFrame, labels: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """rows joined to labels, which has each value of key once with n_rows, the number of its rows; null keys stay, without labels.
+
+    Labels of hot keys, at most a thousand by the definition of hot, are broadcast, so that a key with a
+    third of all rows is not moved to one task; the others are joined by a shuffle.
+    """
+    labels = written(labels, "labels")
+    total = labels.agg(F.sum("n_rows")).first()[0] or 0
+    hot = labels.filter(F.col("n_rows") >= (hot_rows or max(HOT_ROWS, total / 1000))).withColumn("n_hot", F.lit(True))
+    near = rows.join(F.broadcast(hot), key, "left")
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return near.filter("n_hot").drop("n_hot", "n_rows").unionByName(cold.join(labels.drop("n_rows"), key, "left"))
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """A text column as Python strings; null counts as the empty text."""
     return [x or "" for x in column.to_pylist()]

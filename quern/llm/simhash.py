@@ -1,12 +1,14 @@
 """SimHash near-duplicates with a Gray-order hierarchical index.
 
-Fingerprints that differ in at most three bits agree in one of four 16-bit blocks, so each distinct
-fingerprint goes, rotated, to the bucket of each of its blocks. In a bucket fingerprints are sorted
-by Gray rank; runs of them form the leaves of a binary tree whose nodes hold the bits that all
-fingerprints below share (mask and pattern). A walk over pairs of nodes adds up the differences in
-bits that both sides share and drops a pair of groups once they exceed the limit. Buckets beyond
-SLICE fingerprints are cut into slices by hash and every pair of slices is a unit of its own, so no
-task holds an unbounded bucket. Units return a spanning forest of their links, never all pairs.
+Fingerprints that differ in at most three bits agree in one of four blocks of 16 bits, so each distinct
+fingerprint goes, rotated, to a unit for each of its blocks: the unit is named by the block's first
+bits, as many as make units of about UNIT fingerprints (16 at most). A unit is sorted by Gray rank, and
+runs of LEAF fingerprints form the leaves of a binary tree whose nodes hold the bits that all
+fingerprints below share (mask and pattern). A walk over pairs of nodes, from the root down, adds up the
+differences in bits that both sides share and drops a pair of groups once they exceed the limit; only
+leaves that are left are compared. Units beyond SLICE fingerprints are cut into slices by hash and
+every pair of slices is a unit of its own, so no task holds an unbounded unit. Units return a spanning
+forest of their links, never all pairs.
 
 Nulls and texts without words have fingerprint zero, which links like any other; a text of one or two
 words is one shingle; rows with the same text share a fingerprint; an empty table gives no rows.
@@ -15,8 +17,8 @@ Other columns of the input are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import written
+from quern.llm.common import with_labels, written
 from quern.llm.components import components
 
 SEED = 42
 BLOCKS = 4
-SLICE = 1024
-LEAF = 64
+SLICE, UNIT, LEAF = 1024, 256, 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -101,7 +102,8 @@ class GrayTree:
             ones, union = np.bitwise_and.reduceat(ones, at), np.bitwise_or.reduceat(union, at)
 
     def near_leaves(self, limit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of leaves whose shared bits differ in at most limit places, found from the root down."""
+        """Pairs of leaves whose shared bits differ in at most limit places, found from the root down; dropped counts the pairs of groups left out above the leaves and at them."""
+        self.dropped = []
         a = b = np.zeros(1, np.int64)
         for mask, pattern in self.levels[::-1]:
             if len(mask) > 1:
@@ -109,33 +111,33 @@ class GrayTree:
                 keep = (a <= b) & (b < len(mask))
                 a, b = a[keep], b[keep]
             keep = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]) <= limit
+            self.dropped.append(int(len(a) - keep.sum()))
             a, b = a[keep], b[keep]
         return a, b
 
-    def forest(self, limit: int) -> np.ndarray:
+    def forest(self, limit: int, step: int = 4096) -> np.ndarray:
         """For each fingerprint the first one of its component under links of at most limit bits."""
-        parent, v, n = np.arange(len(self.values)), self.values, len(self.values)
-        for i, j in zip(*(x.tolist() for x in self.near_leaves(limit))):
-            x, y = np.arange(i * self.leaf, min(n, (i + 1) * self.leaf)), np.arange(j * self.leaf, min(n, (j + 1) * self.leaf))
-            while True:  # each turn joins a row to one other class, so few turns replace a loop over all pairs
-                near = (np.bitwise_count(v[x][:, None] ^ v[y][None, :]) <= limit) & (parent[x][:, None] != parent[y][None, :])
-                rows = np.flatnonzero(near.any(1))
-                if not len(rows):
-                    break
-                parent = _unite(parent, x[rows], y[near[rows].argmax(1)])
+        n, own = len(self.values), np.arange(self.leaf)
+        v = np.concatenate([self.values, np.zeros(-n % self.leaf, self.values.dtype)])
+        parent, (i, j) = np.arange(n), self.near_leaves(limit)
+        for k in range(0, len(i), step):
+            x, y = (z[k : k + step, None] * self.leaf + own for z in (i, j))
+            near = np.bitwise_count(v[x][:, :, None] ^ v[y][:, None, :]) <= limit
+            near &= (x[:, :, None] < y[:, None, :]) & (y[:, None, :] < n)
+            pair, p, q = np.nonzero(near)
+            parent = _joined(parent, x[pair, p], y[pair, q])
         return parent
 
 
-def _small_units(v: np.ndarray, unit: np.ndarray, most: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of neighbours up to most places apart within a unit."""
-    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-    for k in range(1, most):
-        same = np.flatnonzero(unit[k:] == unit[:-k])
-        if not len(same):
-            break
-        near = same[np.bitwise_count(v[same] ^ v[same + k]) <= limit]
-        found.append((near, near + k))
-    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+def _joined(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Unites the classes of a[i] and b[i]; each turn takes one link of every class, so few turns replace a loop over all links."""
+    while True:
+        apart = parent[a] != parent[b]
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return parent
+        _, one = np.unique(parent[a], return_index=True)
+        parent = _unite(parent, parent[a[one]], parent[b[one]])
 
 
 def _forest_edges(v: np.ndarray, unit: np.ndarray, rep: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,27 +145,24 @@ def _forest_edges(v: np.ndarray, unit: np.ndarray, rep: np.ndarray, limit: int)
     starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
     sizes = np.diff(np.r_[starts, len(unit)])
     parent = np.arange(len(v))
-    small = np.repeat(sizes <= LEAF, sizes)
-    at = np.flatnonzero(small)
-    if len(at):
-        a, b = _small_units(v[at], unit[at], LEAF, limit)
-        parent = _unite(parent, at[a], at[b])
-    for s, n in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist()):
+    for s, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
         parent[s : s + n] = s + GrayTree(v[s : s + n]).forest(limit)
     moved = np.flatnonzero(parent != np.arange(len(v)))
     return rep[moved], rep[parent[moved]]
 
 
-def links(reps: DataFrame, limit: int = 3, slice_rows: int = SLICE) -> DataFrame:
+def links(reps: DataFrame, limit: int = 3, slice_rows: int = SLICE, unit_rows: int = UNIT) -> DataFrame:
     """(a, b): edges between representatives that together connect every pair of fingerprints within limit bits.
 
     reps: fp (distinct longs) and rep (the long that stands for it). limit is below the number of blocks.
+    unit_rows: fingerprints to aim for in a unit.
     """
     if limit >= BLOCKS:
         raise ValueError("more differing bits than blocks less one need more blocks")
     width = 64 // BLOCKS
+    bits = min(width, max(1, math.ceil(math.log2(max(1, reps.count()) / unit_rows + 1))))
     turned = [F.expr(f"(shiftleft(fp, {width * b}) | shiftrightunsigned(fp, {64 - width * b}))" if b else "fp") for b in range(BLOCKS)]
-    rows = reps.select("rep", "fp", F.posexplode(F.array(*turned)).alias("block", "v")).withColumn("key", F.expr(f"shiftrightunsigned(v, {64 - width})"))
+    rows = reps.select("rep", "fp", F.posexplode(F.array(*turned)).alias("block", "v")).withColumn("key", F.expr(f"shiftrightunsigned(v, {64 - bits})"))
     hot = rows.groupBy("block", "key").count().filter(F.col("count") > slice_rows).select("block", "key", F.ceil(F.col("count") / slice_rows).cast("long").alias("slices"))
     cut = rows.join(hot, ["block", "key"], "left").withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn("own", F.expr("pmod(xxhash64(fp), slices)"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
@@ -201,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A null doc_id has its row too; it stands for its fingerprint only if no other row does.
     """
     prints = written(fingerprints(docs, id_col, text_col, words), "prints")
-    reps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
+    reps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows")), "reps")
     found = components(links(reps.filter("rep is not null"), limit))
-    labelled = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    labelled = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"), "n_rows")
+    return with_labels(prints, labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
