@@ -4,18 +4,20 @@ The index holds the items' words; items stand in blocks of BLOCK by length, and
 block, the largest part that it can add to an item's score there. Scores are BM25 divided by the item's
 own threshold: the item's score of itself less its heaviest words, as many as an overlap of SIMILARITY
 of its five-word shingles can lose. So every item that could pass verification scores 1 at least, and
-one cut-off holds for all. Every document is cut into passages that overlap by half and are twice as
-long as the longest item of a length class; an item is found where one passage holds enough of it. Words whose parts together can't lift any item to 1 need no
-lookup (the non-essential words of WAND); a passage meets a block only if its essential words' block
-maxima plus the block's largest non-essential rest reach 1. Such blocks are scored in full; items at 1
-or more are verified by the share of question shingles, and of answer shingles where there is an
-answer, that the document holds. Nothing is cut short: no limit on candidates or passages.
+one cut-off holds for all. The passage that queries the index is the whole document, so an item is found
+however far apart its pieces stand. Words whose parts together can't lift any item to half its threshold
+are non-essential: they have no list of blocks. As blocks have the same bounds for all words and the cut-off is fixed, the
+pivots are found for all blocks at once: a block is one if the maxima of the essential words held and its largest non-essential rest
+reach 1, and all other blocks are skipped unread. In a pivot an item's words are added from the heaviest on, and the item is
+left as soon as the words to come can't lift it to 1. Items at 1 or more are verified by the share of question shingles, and of answer
+shingles where there is an answer, that the document holds. Nothing is cut short: no limit on
+candidates, and none on the length of documents.
 
 Words are runs of letters and digits (ASCII ones in lower case, other characters as they are), so
 punctuation and case don't hide a copy. Items without words match nothing; items of fewer than five
 words match as a whole. Null texts are empty. Repeated rows each have their row. An empty benchmark
 flags nothing; an empty table gives no rows. The benchmark is read by the driver in shards of at most
-SHARD bytes of text, one pass over the documents each, so what is shipped to the workers is bounded.
+SHARD bytes of text, one job over the documents each, so what the workers hold at a time is bounded.
 """
 
 from __future__ import annotations
@@ -24,16 +26,18 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import pieces, same_text, written
 
 K1, B = 1.2, 0.75
-SHINGLE, SIMILARITY, BLOCK, SHARD = 5, 0.8, 16, 4 << 20
+SHINGLE, SIMILARITY, BLOCK, SHARD = 5, 0.8, 4, 4 << 20
 _MAP = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -68,6 +72,8 @@ class Index:
         self.blocks = [range(s, min(n, s + BLOCK)) for s in range(0, n, BLOCK)]
         self._essential(df)
         self._block_maxima()
+        self.total = [sum(part.values()) for part in self.parts]
+        self.heavy = [sorted(part.items(), key=lambda x: -x[1]) for part in self.parts]
 
     def _essential(self, df: Counter) -> None:
         """Frequent words first, words stay non-essential while no item can reach half its threshold by them alone."""
@@ -96,67 +102,49 @@ class Index:
         self.block_of = np.array([b for t in range(len(self.terms)) for b in sorted(most.get(t, ()))], np.int64)
         self.maxima = np.array([most[t][b] for t in range(len(self.terms)) for b in sorted(most.get(t, ()))])
         self.need = np.array([1 - max(self.rest[k] for k in block) for block in self.blocks])
-        spans = [max(len(self.items[k][1]) for k in block) for block in self.blocks]
-        self.span = np.array([1 << max(4, (s - 1).bit_length()) for s in spans], np.int64)  # passages are twice as long
 
     def lookup(self, text: str | None) -> np.ndarray:
         w = words(text)
         return np.fromiter(map(self.terms.get, w, (-1,) * len(w)), np.int64, len(w))
 
-    def candidates(self, tids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(block, passage's start, its end) wherever block maxima allow an item to reach its threshold."""
-        own = np.flatnonzero(tids >= 0)
-        t = tids[own]
-        times = self.at[t + 1] - self.at[t]
-        has = times > 0
-        own, t, times = own[has], t[has], times[has]
-        if not len(own):
-            return []
-        place = np.repeat(own, times)
-        entry = np.repeat(self.at[t] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-        block, gain = self.block_of[entry], self.maxima[entry]
-        word = np.repeat(t, times)
-        passage = place // self.span[block]
-        found = []
-        for shift in (0, 1):  # each place lies in the passages that start at its own span and at the one before
-            p = passage - shift
-            key = block * (len(tids) + 2) + p
-            order = np.lexsort((word, key))
-            k, w = key[order], word[order]
-            new = np.r_[True, (k[1:] != k[:-1]) | (w[1:] != w[:-1])]  # a word counts once a passage
-            found.append((k[new], gain[order][new]))
-        key, gain = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
-        uniq, back = np.unique(key, return_inverse=True)
-        # a word on both sides of a passage's middle is counted twice here, so this is an upper bound still
-        total = np.bincount(back, gain)
-        block, p = uniq // (len(tids) + 2), uniq % (len(tids) + 2)
-        over = (p == len(tids) + 1).nonzero()[0]  # passage -1 of the block after
-        block[over], p[over] = block[over] + 1, -1
-        hit = total >= self.need[block] - 1e-9
-        return [(b, max(0, q) * s, (q + 2) * s) for b, q, s in zip(block[hit].tolist(), p[hit].tolist(), self.span[block[hit]].tolist())]
+    def pivots(self, held: np.ndarray) -> list[int]:
+        """The blocks in which block maxima of the words held (ascending, each once) allow an item to reach its threshold."""
+        times = self.at[held + 1] - self.at[held]
+        total = int(times.sum())
+        entry = np.repeat(self.at[held] - np.cumsum(times) + times, times) + np.arange(total)
+        most = np.bincount(self.block_of[entry], self.maxima[entry], len(self.blocks)) if total else np.zeros(len(self.blocks))
+        return np.flatnonzero(most >= self.need - 1e-9).tolist()
+
+    def reaches(self, k: int, held: set[int]) -> bool:
+        """Whether item k scores 1 at least over the words held."""
+        score, rest = 0.0, self.total[k]
+        for t, part in self.heavy[k]:
+            rest -= part
+            if t in held:
+                score += part
+                if score >= 1:
+                    return True
+            elif score + rest < 1 - 1e-9:
+                return False
+        return score >= 1 - 1e-9
 
     def matches(self, text: str | None) -> list[int]:
         """Ids of the items whose question, and answer if any, the text holds, ascending."""
         tids = self.lookup(text)
-        found, whole = set(), None
-        for b, start, end in self.candidates(tids):
-            seq = tuple(tids[start:end].tolist())
-            held, shingles = set(seq), None
+        once = np.unique(tids[tids >= 0])
+        held, found, runs = set(once.tolist()), set(), {}
+
+        def share(own: set[tuple[int, ...]]) -> float:
+            size = len(next(iter(own)))
+            if size not in runs:  # only runs of known words can be an item's
+                known = np.flatnonzero(np.convolve(tids >= 0, np.ones(size, int), "valid") == size) if len(tids) >= size else ()
+                runs[size] = set(map(tuple, tids[np.asarray(known, np.int64)[:, None] + np.arange(size)].tolist()))
+            return len(own & runs[size]) / len(own)
+
+        for b in self.pivots(once):
             for k in self.blocks[b]:
-                i, q, own, answer = self.items[k]
-                if i in found or sum(p for t, p in self.parts[k].items() if t in held) < 1:
-                    continue
-                if len(q) < SHINGLE:
-                    good = any(seq[j : j + len(q)] == q for j in range(len(seq) - len(q) + 1))
-                else:
-                    shingles = _shingles(seq) if shingles is None else shingles
-                    good = len(own & shingles) >= SIMILARITY * len(own) - 1e-9
-                if good and answer:
-                    whole = tuple(tids.tolist()) if whole is None else whole
-                    short = len(next(iter(answer)))
-                    there = {whole[j : j + short] for j in range(len(whole) - short + 1)}
-                    good = len(answer & there) >= SIMILARITY * len(answer) - 1e-9
-                if good:
+                i, _, own, answer = self.items[k]
+                if i not in found and self.reaches(k, held) and share(own) >= SIMILARITY - 1e-9 and (not answer or share(answer) >= SIMILARITY - 1e-9):
                     found.add(i)
         return sorted(found)
 
@@ -179,21 +167,27 @@ def contaminated_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """(doc_id, same, item_ids) for every row of docs: same is the hash of its text, item_ids ascend."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), same_text(text_col).alias("same"), F.col(text_col).cast("string").alias("text"))
-    parts = []
-    for shard in _shards(items, item_id, question_col, answer_col):
-        index = spark.sparkContext.broadcast(Index(shard))
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+    def queried(index: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch in pieces(whole):
                     found = [index.value.matches(x) for x in batch.column(2).to_pylist()]
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "same", "item_ids"])
 
-        parts.append(rows.mapInArrow(run, "doc_id long, same long, item_ids array<long>"))
-    if len(parts) == 1:
-        return parts[0]
+        return rows.mapInArrow(run, "doc_id long, same long, item_ids array<long>")
+
+    shards = _shards(items, item_id, question_col, answer_col)
+    shard, parts = next(shards), []
+    for following in chain(shards, [None]):
+        index = spark.sparkContext.broadcast(Index(shard))
+        if following is None and not parts:
+            return queried(index)
+        parts.append(written(queried(index), "shard"))  # one index at a time is held
+        index.unpersist()
+        shard = following
     # every shard gives each row once; rows of one id and text match the same items
-    found = written(reduce(DataFrame.unionAll, parts), "shards")
+    found = reduce(DataFrame.unionAll, parts)
     items_of = found.select("doc_id", "same", F.explode("item_ids").alias("item")).groupBy("doc_id", "same").agg(F.sort_array(F.collect_set("item")).alias("found"))
     times = found.groupBy("doc_id", "same").agg((F.count("*") / len(parts)).cast("long").alias("times"))
     match = times["doc_id"].eqNullSafe(items_of["doc_id"]) & (times["same"] == items_of["same"])
