@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -36,7 +37,8 @@ from quern.llm.common import pieces, scratch_path
 
 FANOUT = 256
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 1024
-_PUNCTUATION = ".,;:!?"
+#: Latin letters, then ASCII marks but the apostrophe; perhaps a line break and the same again. The pre-tokenizer cuts between these parts.
+_SIMPLE = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)(?:\n([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*))?")
 #: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))} | {32: 32}
 
@@ -46,11 +48,12 @@ class Encoder:
 
     The vocabulary's pre-tokenizer always cuts between a non-space, one space and a non-space, so ids
     of "a b" are those of "a" and of " b". Texts in which white space touches a space are encoded whole.
-    Arrow splits texts and finds their distinct segments; the library sees each of these once, as long
-    as it is kept: of segments not seen lately, up to KEPT are dropped at a time.
+    Arrow splits texts, finds their distinct segments and looks them up among those kept; the library
+    sees a segment once, as long as it is kept: beyond KEPT segments, those used longest ago are
+    dropped. What is kept stands in arrays, so a segment takes some thirty bytes.
     """
 
-    KEPT = 200_000
+    KEPT = 600_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,62 +66,87 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.opens[i] = token.startswith("Ġ")  # the byte-level alphabet's space
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.marks = dict(zip(_PUNCTUATION, self.plain(list(_PUNCTUATION))))
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
+        self.marks = {"": b"", "\n": self.plain(["\n"])[0]}
+        self.batch = 0
+        self.segments = pa.array([], pa.string())
+        self.pool, self.lens, self.used = np.empty(0, self.dtype), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, segments: list[str]) -> None:
-        """Ids of " " + segment for each; None where a segment doesn't stand alone.
+        """Keeps the ids of " " + segment for each new segment; none where it doesn't stand alone.
 
-        A run of Latin letters is one pre-token with the space before it, and punctuation after it
-        another, so these go to the library's model directly and share the ids of their word.
+        A run of Latin letters is one pre-token with the space before it, marks after it are another, and
+        so are a line break and what follows it, so words go to the library's model directly and are
+        shared by the segments that hold them.
         """
-        known, marks, general, bare, marked = self.known, self.marks, [], [], []
+        found, general, parts = dict.fromkeys(segments, b""), [], []
         for s in segments:
-            if s.isalpha() and (s.isascii() or max(s) < "\u0250"):
-                bare.append(s)
-            elif s[-1:] in marks and s[:-1].isalpha() and (s.isascii() or max(s) < "\u0250"):
-                marked.append(s)
-            elif not s or s[0].isspace() or s[-1].isspace():
-                known[s] = None
-            else:
+            if m := _SIMPLE.fullmatch(s):
+                parts.append((s, *m.groups("")))
+            elif s and not s[0].isspace() and not s[-1].isspace():
                 general.append(s)
-        older = self.older
-        cores = {s[:-1] for s in marked}
-        cores.difference_update(bare)
-        for w in [w for w in cores if w in older and w not in known]:
-            known[w] = older[w]
-        bare += [w for w in cores if w not in known]
-        tokenize, dtype = self.tokenizer.model.tokenize, self.dtype
-        other = [w for w in bare if not w.isascii()]
-        mapped = " ".join(other).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ") if other else []
-        pairs = zip([w for w in bare if w.isascii()] + other, [w for w in bare if w.isascii()] + mapped)
-        known.update((w, array(self.code, [t.id for t in tokenize("Ġ" + m)]).tobytes()) for w, m in pairs)
-        for s in marked:
-            known[s] = known[s[:-1]] + self.marks[s[-1]]
+        if len(self.marks) > 10_000:
+            self.marks = {k: self.marks[k] for k in ("", "\n")}
+        if tails := list({x for p in parts for x in (p[2], p[4]) if x not in self.marks}):
+            self.marks.update(zip(tails, self.plain(tails)))
+        spaced = self._words(dict.fromkeys(p[1] for p in parts), "Ġ")
+        after = self._words(dict.fromkeys(p[3] for p in parts if p[3]), "")
+        marks, line = self.marks, self.marks["\n"]
+        for s, word, tail, following, last in parts:
+            found[s] = spaced[word] + marks[tail] + (line + after[following] + marks[last] if following else b"")
         for i in range(0, len(general), 2000):
             part = general[i : i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype)
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(part):
-                raw, size = ids.tobytes(), dtype.itemsize
+                raw, size = ids.tobytes(), self.dtype.itemsize
                 at = [*(cuts * size).tolist(), len(raw)]
-                known.update(zip(part, (raw[a:b] for a, b in zip(at, at[1:]))))
+                found.update(zip(part, (raw[a:b] for a, b in zip(at, at[1:]))))
             else:
-                known.update(zip(part, self.plain([" " + s for s in part])))
-
-    def _of(self, segments: list[str]) -> list[bytes | None]:
-        if len(self.known) > self.KEPT:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = [s for s in segments if s not in known]
-        seen = [s for s in new if s in older]
-        known.update(zip(seen, map(older.__getitem__, seen)))
-        self._learn([s for s in new if s not in known])
-        return list(map(known.__getitem__, segments))
+                found.update(zip(part, self.plain([" " + s for s in part])))
+        runs = [found[s] for s in segments]
+        self.segments = pa.concat_arrays([self.segments, pa.array(segments, pa.string())])
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(runs), self.dtype)])
+        self.lens = np.concatenate([self.lens, np.fromiter(map(len, runs), np.int32, len(runs)) // self.dtype.itemsize])
+        self.used = np.concatenate([self.used, np.full(len(runs), self.batch, np.int32)])
+
+    def _words(self, words: dict[str, bytes | None], before: str) -> dict[str, bytes]:
+        """The ids of runs of Latin letters, after a space ("Ġ") or not; those kept as segments are looked up."""
+        if before and words and len(self.lens):
+            place = pa.compute.index_in(pa.array(words, pa.string()), self.segments).fill_null(-1).to_numpy()
+            stops = np.cumsum(self.lens)[place]
+            held = [(w, self.pool[stop - self.lens[k] : stop].tobytes()) for w, k, stop in zip(words, place.tolist(), stops.tolist()) if k >= 0]
+            words.update(held)
+        tokenize, code = self.tokenizer.model.tokenize, self.code
+        new = [w for w, x in words.items() if x is None]
+        plain, other = [w for w in new if w.isascii()], [w for w in new if not w.isascii()]
+        mapped = " ".join(other).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ") if other else []
+        words.update((w, array(code, [t.id for t in tokenize(before + x)]).tobytes()) for w, x in zip([*plain, *other], [*plain, *mapped]))
+        return words
+
+    def _forget(self) -> None:
+        """Drops the segments used longest ago if there are more than KEPT, to half of it."""
+        if len(self.used) > self.KEPT:
+            keep = np.sort(np.argsort(-self.used, kind="stable")[: self.KEPT // 2])
+            held = np.zeros(len(self.used), bool)
+            held[keep] = True
+            self.pool = self.pool[np.repeat(held, self.lens)]
+            self.segments, self.lens, self.used = self.segments.take(pa.array(keep)), self.lens[keep], self.used[keep]
+
+    def _places(self, segments: pa.StringArray) -> np.ndarray:
+        """Where each of the distinct segments is kept."""
+        self.batch += 1
+        self._forget()
+        place = pa.compute.index_in(segments, self.segments)
+        found = place.fill_null(-1).to_numpy().astype(np.int32)
+        new = np.flatnonzero(found < 0)
+        self.used[found[found >= 0]] = self.batch
+        if len(new):
+            found[new] = len(self.used) + np.arange(len(new))
+            self._learn(segments.take(pa.array(new)).to_pylist())
+        return found
 
     def encode(self, texts: pa.Array, end: bytes = b"", rows: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of whole texts in turn, as many texts at a time as rows says: all ids, and how many are each text's. Null is the empty text; end follows each text."""
@@ -126,28 +154,27 @@ class Encoder:
         split = pa.compute.split_pattern(texts, " ")
         starts = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        at = coded.indices.to_numpy().astype(np.int64)
-        segments = coded.dictionary.to_pylist()
-        heads = [segments[i] for i in at[starts[:-1]].tolist()]
-        at[starts[:-1]] = len(segments) + np.arange(len(heads))
-        runs = self._of(segments) + self.plain(heads) + [end]
-        bad = np.zeros(len(runs), bool)
-        if None in runs:
-            bad[[i for i, x in enumerate(runs) if x is None]] = True
-            runs = [x or b"" for x in runs]
-        bad[[len(segments) + i for i, h in enumerate(heads) if not h or h[-1].isspace()]] = True
-        at = np.insert(at, starts[1:], len(runs) - 1)
-        starts += np.arange(len(starts))
-        lens = np.fromiter(map(len, runs), np.int64, len(runs)) // self.dtype.itemsize
-        pool, first = np.frombuffer(b"".join(runs), self.dtype), np.cumsum(lens) - lens
+        at = coded.indices.to_numpy()
+        heads = coded.dictionary.take(pa.array(at[starts[:-1]])).to_pylist()
+        place = self._places(coded.dictionary)
+        kept = len(self.lens)
+        at = place[at]
+        at[starts[:-1]] = kept + np.arange(len(heads))
+        more = [*self.plain(heads), end]
+        lens = np.concatenate([self.lens, np.fromiter(map(len, more), np.int32, len(more)) // self.dtype.itemsize])
+        pool, first = np.concatenate([self.pool, np.frombuffer(b"".join(more), self.dtype)]), (np.cumsum(lens) - lens).astype(np.int32)
+        bad = lens == 0
+        bad[-1] = False
+        bad[kept:-1] = [not h or h[-1].isspace() for h in heads]
+        any_bad = bad[at].any()
         for a in range(0, len(heads), rows):
             own = starts[a : a + rows + 1]
-            here, inner = at[own[0] : own[-1]], own - own[0]
+            here, inner = np.insert(at[own[0] : own[-1]], own[1:] - own[0], len(lens) - 1), own - own[0] + np.arange(len(own))
             times = lens[here]
-            ends = np.cumsum(times)
-            ids = pool[np.repeat(first[here] - ends + times, times) + np.arange(int(ends[-1]))]
-            sizes = np.add.reduceat(times, inner[:-1])
-            whole = np.logical_or.reduceat(bad[here], inner[:-1]) & (np.diff(inner) > 2)
+            ends = np.cumsum(times, dtype=np.int32)
+            ids = pool[np.repeat(first[here] - ends + times, times) + np.arange(int(ends[-1]), dtype=np.int32)]
+            sizes = np.add.reduceat(times, inner[:-1]).astype(np.int64)
+            whole = np.logical_or.reduceat(bad[here], inner[:-1]) & (np.diff(inner) > 2) if any_bad else np.zeros(1, bool)
             if whole.any():
                 parts = np.split(ids, np.cumsum(sizes)[:-1])
                 for k in np.flatnonzero(whole).tolist():
