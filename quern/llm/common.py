@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (one machine, tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset and all run on one machine; else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="quern-"))
     return f"file://{_local[0]}"

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -37,12 +36,19 @@ from quern.llm.common import pieces, scratch_path
 
 FANOUT = 256
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 1024
+_LETTERS, _MARKS = "[A-Za-zªµºÀ-ÖØ-öø-ɏ]+", r"[!-&(-/:-@\[-`{-~]*"
 #: Latin letters, then ASCII marks but the apostrophe; perhaps a line break and the same again. The pre-tokenizer cuts between these parts.
-_SIMPLE = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)(?:\n([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*))?")
+_SIMPLE = rf"\A(?P<word>{_LETTERS})(?P<tail>{_MARKS})(?P<line>\n?)(?P<after>(?:{_LETTERS})?)(?P<last>{_MARKS})\z"
 #: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))} | {32: 32}
 
 
+def _ragged(pool: np.ndarray, first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The runs of pool that start at first and have so many ids each, one after the other."""
+    ends = np.cumsum(lens, dtype=np.int32)
+    return pool[np.repeat((first - ends + lens).astype(np.int32), lens) + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
+
+
 class Encoder:
     """The tokenizers library over whole texts, with the ids of space-separated segments kept between calls.
 
@@ -65,8 +71,7 @@ class Encoder:
         self.opens = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.opens[i] = token.startswith("Ġ")  # the byte-level alphabet's space
-        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.marks = {"": b"", "\n": self.plain(["\n"])[0]}
+        self.marks = {"": b""}
         self.batch = 0
         self.segments = pa.array([], pa.string())
         self.pool, self.lens, self.used = np.empty(0, self.dtype), np.empty(0, np.int32), np.empty(0, np.int32)
@@ -74,28 +79,71 @@ class Encoder:
     def plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, segments: list[str]) -> None:
-        """Keeps the ids of " " + segment for each new segment; none where it doesn't stand alone.
+    def _learn(self, segments: pa.StringArray) -> np.ndarray:
+        """Keeps the ids of " " + segment for each new segment, none where it doesn't stand alone; returns the order in which they are kept.
 
         A run of Latin letters is one pre-token with the space before it, marks after it are another, and
         so are a line break and what follows it, so words go to the library's model directly and are
         shared by the segments that hold them.
         """
-        found, general, parts = dict.fromkeys(segments, b""), [], []
-        for s in segments:
-            if m := _SIMPLE.fullmatch(s):
-                parts.append((s, *m.groups("")))
-            elif s and not s[0].isspace() and not s[-1].isspace():
-                general.append(s)
-        if len(self.marks) > 10_000:
-            self.marks = {k: self.marks[k] for k in ("", "\n")}
-        if tails := list({x for p in parts for x in (p[2], p[4]) if x not in self.marks}):
-            self.marks.update(zip(tails, self.plain(tails)))
-        spaced = self._words(dict.fromkeys(p[1] for p in parts), "Ġ")
-        after = self._words(dict.fromkeys(p[3] for p in parts if p[3]), "")
-        marks, line = self.marks, self.marks["\n"]
-        for s, word, tail, following, last in parts:
-            found[s] = spaced[word] + marks[tail] + (line + after[following] + marks[last] if following else b"")
+        parts = pa.compute.extract_regex(segments, _SIMPLE)
+        fits = parts.is_valid()
+        if len(segments):  # a second word stands after a line break and nowhere else
+            line, after = parts.field("line"), parts.field("after")
+            fits = pa.compute.and_(fits, pa.compute.equal(pa.compute.equal(line, ""), pa.compute.equal(after, "")).fill_null(False))
+        fits = fits.to_numpy(zero_copy_only=False)
+        simple, other = np.flatnonzero(fits), np.flatnonzero(~fits)
+        runs = [self._cut(parts.field(k).take(pa.array(simple)), k) for k in ("word", "tail", "line", "after", "last")]
+        starts = np.cumsum([0, *(len(pool) for pool, _, _ in runs)])
+        pool = np.concatenate([pool for pool, _, _ in runs])
+        lens = np.stack([lens[at] for _, lens, at in runs], 1)
+        first = np.stack([(np.cumsum(lens) - lens)[at] + start for (_, lens, at), start in zip(runs, starts)], 1)
+        rest = self._whole(segments.take(pa.array(other)).to_pylist())
+        self.pool = np.concatenate([self.pool, _ragged(pool, first.ravel(), lens.ravel()), np.frombuffer(b"".join(rest), self.dtype)])
+        more = np.fromiter(map(len, rest), np.int32, len(rest)) // self.dtype.itemsize
+        self.lens = np.concatenate([self.lens, lens.sum(1, dtype=np.int32), more])
+        order = np.concatenate([simple, other])
+        self.segments = pa.concat_arrays([self.segments, segments.take(pa.array(order))])
+        self.used = np.concatenate([self.used, np.full(len(order), self.batch, np.int32)])
+        return order
+
+    def _cut(self, column: pa.StringArray, part: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of a column's distinct values, how many each has, and which value stands in each row."""
+        coded = column.dictionary_encode()
+        at = coded.indices.to_numpy()
+        if part not in ("word", "after"):
+            if len(self.marks) > 10_000:
+                self.marks = {"": b""}
+            values = coded.dictionary.to_pylist()
+            if new := [x for x in values if x not in self.marks]:
+                self.marks.update(zip(new, self.plain(new)))
+            found = [self.marks[x] for x in values]
+            return np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int32, len(found)) // self.dtype.itemsize, at
+        lens, first = np.zeros(len(coded.dictionary), np.int32), np.zeros(len(coded.dictionary), np.int64)
+        place = np.full(len(lens), -1)
+        if part == "word" and len(self.lens):  # a word that is kept as a segment
+            place = pa.compute.index_in(coded.dictionary, self.segments).fill_null(-1).to_numpy()
+            held = np.flatnonzero(place >= 0)
+            lens[held], first[held] = self.lens[place[held]], (np.cumsum(self.lens) - self.lens)[place[held]]
+        tokenize, before, flat = self.tokenizer.model.tokenize, "Ġ" if part == "word" else "", []
+        new = pa.array(np.flatnonzero(place < 0))
+        values = coded.dictionary.take(new)
+        ascii_only = pa.compute.string_is_ascii(values)
+        for own, plain in ((ascii_only, True), (pa.compute.invert(ascii_only), False)):
+            names = values.filter(own).to_pylist()
+            if not plain and names:
+                names = " ".join(names).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ")
+            found = [tokenize(before + x) if x else () for x in names]
+            k = new.filter(own).to_numpy()
+            lens[k] = np.fromiter(map(len, found), np.int32, len(found))
+            first[k] = len(self.pool) + len(flat) + np.cumsum(lens[k]) - lens[k]
+            flat += [t.id for x in found for t in x]
+        return _ragged(np.concatenate([self.pool, np.array(flat, self.dtype)]), first, lens), lens, at
+
+    def _whole(self, segments: list[str]) -> list[bytes]:
+        """The ids of " " + segment by the library's whole encoding; none where white space stands at an end."""
+        found = dict.fromkeys(segments, b"")
+        general = [s for s in segments if s and not s[0].isspace() and not s[-1].isspace()]
         for i in range(0, len(general), 2000):
             part = general[i : i + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
@@ -106,25 +154,7 @@ class Encoder:
                 found.update(zip(part, (raw[a:b] for a, b in zip(at, at[1:]))))
             else:
                 found.update(zip(part, self.plain([" " + s for s in part])))
-        runs = [found[s] for s in segments]
-        self.segments = pa.concat_arrays([self.segments, pa.array(segments, pa.string())])
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(runs), self.dtype)])
-        self.lens = np.concatenate([self.lens, np.fromiter(map(len, runs), np.int32, len(runs)) // self.dtype.itemsize])
-        self.used = np.concatenate([self.used, np.full(len(runs), self.batch, np.int32)])
-
-    def _words(self, words: dict[str, bytes | None], before: str) -> dict[str, bytes]:
-        """The ids of runs of Latin letters, after a space ("Ġ") or not; those kept as segments are looked up."""
-        if before and words and len(self.lens):
-            place = pa.compute.index_in(pa.array(words, pa.string()), self.segments).fill_null(-1).to_numpy()
-            stops = np.cumsum(self.lens)[place]
-            held = [(w, self.pool[stop - self.lens[k] : stop].tobytes()) for w, k, stop in zip(words, place.tolist(), stops.tolist()) if k >= 0]
-            words.update(held)
-        tokenize, code = self.tokenizer.model.tokenize, self.code
-        new = [w for w, x in words.items() if x is None]
-        plain, other = [w for w in new if w.isascii()], [w for w in new if not w.isascii()]
-        mapped = " ".join(other).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ") if other else []
-        words.update((w, array(code, [t.id for t in tokenize(before + x)]).tobytes()) for w, x in zip([*plain, *other], [*plain, *mapped]))
-        return words
+        return [found[s] for s in segments]
 
     def _forget(self) -> None:
         """Drops the segments used longest ago if there are more than KEPT, to half of it."""
@@ -144,8 +174,9 @@ class Encoder:
         new = np.flatnonzero(found < 0)
         self.used[found[found >= 0]] = self.batch
         if len(new):
-            found[new] = len(self.used) + np.arange(len(new))
-            self._learn(segments.take(pa.array(new)).to_pylist())
+            before = len(self.used)
+            order = self._learn(segments.take(pa.array(new)))
+            found[new[order]] = before + np.arange(len(new))
         return found
 
     def encode(self, texts: pa.Array, end: bytes = b"", rows: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -171,8 +202,7 @@ class Encoder:
             own = starts[a : a + rows + 1]
             here, inner = np.insert(at[own[0] : own[-1]], own[1:] - own[0], len(lens) - 1), own - own[0] + np.arange(len(own))
             times = lens[here]
-            ends = np.cumsum(times, dtype=np.int32)
-            ids = pool[np.repeat(first[here] - ends + times, times) + np.arange(int(ends[-1]), dtype=np.int32)]
+            ids = _ragged(pool, first[here], times)
             sizes = np.add.reduceat(times, inner[:-1]).astype(np.int64)
             whole = np.logical_or.reduceat(bad[here], inner[:-1]) & (np.diff(inner) > 2) if any_bad else np.zeros(1, bool)
             if whole.any():

@@ -33,6 +33,18 @@ def test_encoder_gives_the_ids_of_whole_texts():
     assert [sizes.tolist() for _, sizes in own.encode(pa.array([None, ""]))] == [[0, 0]]
 
 
+def test_segments_of_all_shapes():
+    """Letters, marks, digits, line breaks and spaces in any order give the ids of whole texts."""
+    own, r = token_store.Encoder(PATH), random.Random(7)
+    own.KEPT = 300
+    letters = ["ab", "Z", "é", "ªx", "ɏ", "ɐ", "word", "Ǆ", "ß"]
+    others = [".", ",", "!?", "###", "'", "'s", "1", "23", "_", "\n", "\n\n", "\t", "-", "\"", "…", "—"]
+    for _ in range(30):
+        texts = [" ".join("".join(r.choice(letters if r.random() < 0.5 else others) for _ in range(r.randint(0, 6))) for _ in range(r.randint(0, 12))) for _ in range(40)]
+        found = [part.tobytes() for ids, sizes in own.encode(pa.array(texts), b"", 16) for part in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert found == own.plain(texts)
+
+
 def test_cut_points_depend_on_content_alone():
     r = np.random.default_rng(1)
     streams = [r.integers(0, 50_000, n) for n in (1, 63, 64, 65, 3000, 20_000, 5)]
