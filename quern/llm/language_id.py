@@ -9,7 +9,8 @@ all rows costs a row a task; a row's own vote is taken out of its host's and dom
 
 N-grams overlap and repeat, so their log-likelihood counts TRUST of its value. A text without letters
 has no language (und). Nulls in any evidence say nothing; repeated rows each have their row; an empty
-table gives no rows. Columns of the input are kept as they are; the operator's own start with lid_.
+table gives no rows. Columns of the input are kept as they are, whatever their names, but for lid_lang,
+lid_confidence and lid_accepted, which are the operator's results and replace columns of that name.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SAMPLE = 400
 TRUST, HOST_WEIGHT, DOMAIN_WEIGHT, EVIDENCE_WEIGHT, LEAST = 0.1, 4.0, 16.0, 1.0, 0.5
 #: Tables of votes of so many keys at most are broadcast, so that rows with their texts stay where they are; larger ones are joined by a shuffle.
 SMALL = 50_000
+RESULTS = ("lid_lang", "lid_confidence", "lid_accepted")
 _OWN = ["lid_n", "lid_ll", "lid_best", "lid_declared", "lid_suffix", "lid_host", "lid_domain"]
 
 
@@ -56,10 +58,11 @@ def fit_text_model(docs: DataFrame, id_col: str, text_col: str, declared: Column
     return fit_on_sample(GramModel(list(languages)), docs, id_col, text_col, chosen)
 
 
-def _with_likelihoods(docs: DataFrame, model: GramModel, text_col: str, declared: Column, host: Column, address: Column) -> DataFrame:
+def _with_likelihoods(docs: DataFrame, model: GramModel, text_col: str) -> DataFrame:
+    """docs (the input's columns, lid_declared, lid_host, lid_address, and text unless the input's is kept) with the text's likelihoods and the address's parts, without text and address."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema
-    at = schema.fieldNames().index(text_col)
+    kept = docs.withColumns({"lid_suffix": suffix_of(F.col("lid_address")), "lid_domain": F.coalesce(domain_of(F.col("lid_address")), F.lit(""))}).drop("lid_address")
+    at = kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -72,12 +75,10 @@ def _with_likelihoods(docs: DataFrame, model: GramModel, text_col: str, declared
                 letters = [any(map(str.isalpha, x)) for x in texts]
                 best = [str(names[k]) if ok else "und" for k, ok in zip(ll.argmax(1), letters)]
                 more = [pa.array([n if ok else 0 for (n, _), ok in zip(found, letters)], pa.int64()), pa.array(ll.tolist(), pa.list_(pa.float64())), pa.array(best, pa.string())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "lid_n", "lid_ll", "lid_best"])
+                rest = [(c, x) for c, x in zip(batch.schema.names, batch.columns) if c != "text"]
+                yield pa.RecordBatch.from_arrays([*(x for _, x in rest), *more], names=[*(c for c, _ in rest), "lid_n", "lid_ll", "lid_best"])
 
-    kept = docs.withColumns({"lid_declared": F.lower(declared), "lid_host": F.lower(host), "lid_address": address})
-    kept = kept.withColumns({"lid_suffix": suffix_of(F.col("lid_address")), "lid_domain": F.coalesce(domain_of(F.col("lid_address")), F.lit(""))}).drop("lid_address")
-    at = kept.schema.fieldNames().index(text_col)
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
     return kept.mapInArrow(run, f"{out}, lid_n long, lid_ll array<double>, lid_best string")
 
 
@@ -95,9 +96,12 @@ def identified(docs: DataFrame, model: GramModel, text_col: str = "text", declar
     """
     null = F.lit(None).cast("string")
     declared, host, address = (null if c is None else c for c in (declared, host, address))
-    names, kept = model.classes, docs.columns if keep is None else keep
-    rows = _with_likelihoods(docs, model, text_col, declared, host, address)
-    rows = written(rows.select(*kept, *_OWN), "likelihoods")
+    names, kept = model.classes, [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    # the input's columns go by place, so that none can clash with the operator's own
+    own = docs.select(*[docs[c].alias(f"in_{k}") for k, c in enumerate(kept)], *([] if text_col in kept else [docs[text_col].alias("text")]), F.lower(declared).alias("lid_declared"), F.lower(host).alias("lid_host"), address.alias("lid_address"))
+    rows = _with_likelihoods(own, model, f"in_{kept.index(text_col)}" if text_col in kept else "text")
+    inputs = [f"in_{k}" for k in range(len(kept))]
+    rows = written(rows.select(*inputs, *_OWN), "likelihoods")
     one = F.array(*[F.when(F.col("lid_best") == x, 1.0).otherwise(0.0) for x in names])
     total = rows.agg(*[F.sum(F.when(F.col("lid_best") == x, 1).otherwise(0)).alias(f"n{k}") for k, x in enumerate(names)]).first()
     base = [(total[k] or 0) + 1.0 for k in range(len(names))]
@@ -134,4 +138,4 @@ def identified(docs: DataFrame, model: GramModel, text_col: str = "text", declar
     joined = joined.withColumn("lid_sum", F.aggregate("lid_post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("lid_top"))))
     lang = F.when(F.col("lid_n") == 0, "und").otherwise(F.element_at(F.array(*[F.lit(x) for x in [*names, "und"]]), F.array_position("lid_post", F.col("lid_top")).cast("int")))
     out = joined.withColumn("lid_lang", lang).withColumn("lid_confidence", F.when(F.col("lid_n") == 0, 0.0).otherwise(1 / F.col("lid_sum")))
-    return out.select(*kept, "lid_lang", "lid_confidence", ((F.col("lid_lang") != "und") & (F.col("lid_confidence") >= least)).alias("lid_accepted"))
+    return out.select(*[F.col(x).alias(c) for x, c in zip(inputs, kept)], "lid_lang", "lid_confidence", ((F.col("lid_lang") != "und") & (F.col("lid_confidence") >= least)).alias("lid_accepted"))
