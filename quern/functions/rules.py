@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,10 +96,16 @@ def pii_reason(c: Column) -> Column:
     return F.coalesce(*[F.when(hit, name) for name, hit in pii_kinds(c).items()])
 
 
+#: What every kind of personal data needs: one of these somewhere, in any view of a text.
+_SCREEN = r"[@]|(?i:://|www\.)|::|[0-9A-Fa-f]:[0-9A-Fa-f]|\d"
+
+
 def pii_reason_any(c: Column) -> Column:
-    """Of the text, of it on one line, and of it with no space after hyphens and periods."""
+    """Of the text, of it on one line, and of it with no space after hyphens and periods; texts without a digit, at sign or address mark have none."""
     line = collapsed(c)
-    return F.coalesce(pii_reason(c), pii_reason(line), pii_reason(F.regexp_replace(line, r"(?<=[-.])\s+", "")))
+    views = F.array(c, line, F.regexp_replace(line, r"(?<=[-.])\s+", ""))
+    reasons = F.transform(F.array_distinct(views), lambda v: F.when(v.rlike(_SCREEN), pii_reason(v)))
+    return F.try_element_at(F.filter(reasons, lambda r: r.isNotNull()), F.lit(1))
 
 
 def sensitive_match(c: Column, terms: Iterable[str], allow: Iterable[str] = ()) -> Column:
@@ -119,10 +126,23 @@ def sensitive_match(c: Column, terms: Iterable[str], allow: Iterable[str] = ())
 
 
 def markdown_dump(c: Column) -> Column:
-    lines = F.split(c, "\n", -1)
-    bullets = F.size(F.filter(lines, lambda x: x.rlike(r"^\s*(?:[-*•]|\d+\.) ")))
+    """A fence anywhere, three bullets, a heading, or a line with three pipes."""
+    lines = F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", -1)
+    bullets = F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*] ")))
     pipes = F.exists(lines, lambda x: F.length(x) - F.length(F.replace(x, F.lit("|"), F.lit(""))) >= 3)
-    return c.rlike(fixed.FENCE) | (bullets >= 3) | c.rlike(fixed.HEADING) | pipes
+    return c.contains("```") | (bullets >= 3) | F.exists(lines, lambda x: x.rlike(r"^#+ ")) | pipes
+
+
+def assistant_phrase(c: Column) -> Column:
+    """Whether the text has a phrase of assistants."""
+    low = F.lower(c)
+    return reduce(Column.__or__, [low.contains(x) for x in fixed.AI_PHRASES])
+
+
+def reviewed_message(lang: Column, text: Column, deleted: Column, reviewed: Column, synthetic: Column) -> Column:
+    """English, not deleted, reviewed, not synthetic, with no phrase of assistants and no markdown; null flags are false."""
+    flag = lambda x: F.coalesce(x, F.lit(False))
+    return lang.eqNullSafe(F.lit("en")) & ~flag(deleted) & flag(reviewed) & ~flag(synthetic) & ~assistant_phrase(F.coalesce(text, F.lit(""))) & ~markdown_dump(F.coalesce(text, F.lit("")))
 
 
 def in_word_band(c: Column) -> Column:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
 from quern.functions.text import estimated_tokens, uniform
+from quern.operators.ordered import Ordered
 
 
 def crossed(questions: DataFrame, answers: DataFrame) -> DataFrame:
@@ -74,7 +75,6 @@ def length_guarded(df: DataFrame, tokens: Column, limit: int, most: float = 0.01
 
 
 def next_in_order(df: DataFrame, order: str, value: str) -> DataFrame:
-    """df with next: the value of the next row, the first row's for the last. A global order, for small calibration sets."""
-    w = Window.orderBy(order)
+    """df with next: the value of the next row, the first row's for the last."""
     first = df.agg(F.min_by(value, order)).first()[0]
-    return df.withColumn("next", F.coalesce(F.lead(value).over(w), F.lit(first)))
+    return Ordered(df, [order]).next("next", value).result().withColumn("next", F.coalesce("next", F.lit(first)))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
-from quern.functions.text import signoff_line, words
+from quern.functions.text import identity_ok, signoff_line, words
+from quern.sources.scratch import materialised
 
 
 def breaks(c: Column) -> Column:
@@ -92,14 +93,26 @@ def runs(c: Column, n: int) -> Column:
     return F.flatten(F.transform(F.array(words(F.lower(c))), lambda w: F.when(F.size(w) >= n, every(w)).otherwise(F.array().cast("array<string>"))))
 
 
+#: Rows that are broadcast at most.
+SMALL = 200_000
+
+
 def verbatim(df: DataFrame, others: DataFrame, id_col: str, text_col: str, other_id: str, other_text: str, n: int) -> DataFrame:
-    """(id, other_id): rows that share a run of n words with another table's row, by an equi-join on distinct runs."""
+    """(id, other_id): rows that share a run of n words with another table's row, by an equi-join on distinct runs.
+
+    Up to SMALL runs of the other table are broadcast, so the runs of df stay where they are.
+    """
     a = df.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(runs(F.col(text_col), n))).alias("run"))
-    b = others.select(F.col(other_id).alias("other_id"), F.explode(F.array_distinct(runs(F.col(other_text), n))).alias("run"))
-    return a.join(b, "run").select("id", "other_id").distinct()
+    b = materialised(others.select(F.col(other_id).alias("other_id"), F.explode(F.array_distinct(runs(F.col(other_text), n))).alias("run")))
+    return a.join(F.broadcast(b) if b.count() <= SMALL else b, "run").select("id", "other_id").distinct()
 
 
 def continues(continuation: Column, text: Column, prefix_words: int, n: int) -> Column:
     """Whether a continuation has a run of n words of what follows the text's first words."""
     rest = F.array_join(F.slice(words(text), F.lit(prefix_words + 1), F.greatest(F.size(words(text)) - prefix_words, F.lit(0))), " ")
     return F.arrays_overlap(runs(continuation, n), runs(rest, n))
+
+
+def passed(df: DataFrame, answer: str, product: str, by: list[str]) -> DataFrame:
+    """(by, n, passed): answers that name the product and no other, in each group."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(identity_ok(F.col(answer), product)).alias("passed"))

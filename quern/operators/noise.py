@@ -13,15 +13,15 @@ ATTEMPTS = 5
 
 
 def variants(df: DataFrame, id_col: str, text_col: str, n: int, seed: str, least: int = 1, most: int = 3) -> DataFrame:
-    """(id, variant, input, output): up to n distinct noisy outputs of each text, none equal to it, from at most n * ATTEMPTS attempts.
+    """(id, variant, input, output, word_edits, kinds): up to n distinct noisy outputs of each text, none equal to it, from at most n * ATTEMPTS attempts, with the changed words and their kinds.
 
     Equal texts share their outputs: the row with the least id draws them.
     """
     same = [F.xxhash64(text_col).alias("h"), F.md5(text_col).alias("m")]
     firsts = df.groupBy(*same).agg(F.min(id_col).alias("id")).select("id")
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("input")).join(firsts, "id", "left_semi").filter("input IS NOT NULL")
-    drawn = texts.select("id", "input", F.posexplode(noisy(F.col("input"), F.col("id"), n, n * ATTEMPTS, seed, least, most)).alias("variant", "output"))
-    return drawn.select("id", (F.col("variant") + 1).alias("variant"), "input", "output")
+    drawn = texts.select("id", "input", F.posexplode(noisy(F.col("input"), F.col("id"), n, n * ATTEMPTS, seed, least, most)).alias("variant", "new"))
+    return drawn.select("id", (F.col("variant") + 1).alias("variant"), "input", "new.output", "new.word_edits", "new.kinds")
 
 
 def words_at(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -63,9 +63,26 @@ def fat_finger(df: DataFrame, id_col: str, text_col: str, seed: str) -> DataFram
 
 
 def lexicon_matches(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame) -> DataFrame:
-    """(id, start, end, phrase, wrong): lower-case one-word entries of lexicon (phrase, wrong) in the texts, by an equi-join on the word."""
-    w = words_at(df, id_col, text_col).select("id", "start", "word", F.lower(F.replace("word", F.lit("’"), F.lit("'"))).alias("phrase"))
-    return w.join(lexicon, "phrase").select("id", "start", (F.col("start") + F.length("word")).alias("end"), "phrase", "wrong")
+    """(id, start, end, phrase, wrong): whole-word places of lexicon (phrase, wrong; phrases in lower case, distinct) in the texts, in any case, with either apostrophe.
+
+    A phrase is words and what stands between them, so it is an n-gram of a text's segments. The
+    lexicon's first words are looked up first, then its phrases by an equi-join on the n-grams that start there. The lexicon
+    is a word list of bounded size; its first words and the lengths of its phrases are read by the driver.
+    """
+    cut = lexicon.withColumn("segs", segments(F.col("phrase")))
+    heads = sorted(r[0] for r in cut.select(F.col("segs")[0]).distinct().collect())
+    sizes = sorted(r[0] for r in cut.select(F.size("segs")).distinct().collect())
+    plain = lambda c: F.lower(F.replace(c, F.lit("’"), F.lit("'")))
+    seg = df.select(F.col(id_col).alias("id"), segments(F.col(text_col)).alias("s"))
+    edge = rf"[\p{{L}}\p{{N}}_'’]"
+    at = lambda s, i: F.try_element_at(s, i)
+    grams = lambda s, i: F.array(*[F.struct(plain(F.array_join(F.slice(s, i, F.lit(k)), "")).alias("phrase"), F.coalesce(~at(s, i + k).rlike(rf"\A{edge}"), F.lit(True)).alias("ends")) for k in sizes])
+    begins = lambda s, i: F.when(i == 1, True).otherwise(~at(s, F.greatest(i - 1, F.lit(1))).rlike(rf"{edge}\z"))
+    place = lambda s, i: F.struct(F.length(F.array_join(F.slice(s, F.lit(1), i - 1), "")).alias("start"), grams(s, i).alias("grams"))
+    starts = seg.select("id", "s", F.filter(F.sequence(F.lit(1), F.greatest(F.size("s"), F.lit(1))), lambda i: plain(at(F.col("s"), i)).isin(heads) & begins(F.col("s"), i)).alias("at"))
+    found = starts.select("id", F.explode(F.transform("at", lambda i: place(F.col("s"), i))).alias("p")).select("id", "p.start", F.explode("p.grams").alias("g")).filter("g.ends")
+    rows = found.select("id", "start", "g.phrase").join(F.broadcast(lexicon.select("phrase", "wrong")), "phrase")
+    return rows.select("id", "start", (F.col("start") + F.length("phrase")).alias("end"), "phrase", "wrong").distinct()
 
 
 def corrupted(df: DataFrame, edits: DataFrame, id_col: str, text_col: str) -> DataFrame:

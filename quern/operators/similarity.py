@@ -1,19 +1,23 @@
 """Exact set-similarity joins by prefix filtering, and what is built on them.
 
 Two sets whose Jaccard index is at least 4/5 share a token among the first n - ceil(4n/5) + 1 of each,
-in any one order of tokens; rare tokens come first, so buckets stay small. Equal sets are joined as one
-set (copies cost nothing), candidates pass a size filter, and the index is checked in integers. Ids
-are unique.
+in any one order of tokens. Rare tokens come first, and tokens of one set alone need no row at all: they
+only push the others back, so most sets have few rows in the join or none. Rows are joined on a token's hash and a
+class of sizes, pass a size and a positional filter (what still follows the first common token has to
+suffice), and the index is checked in integers on the tokens themselves. Equal sets are joined as one
+set (copies cost nothing). Ids are unique.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
 from quern.functions.text import token_set
-from quern.sources.scratch import checkpointed
+from quern.sources.scratch import materialised
 
 _UP, _DOWN = fixed.NEAR
 
@@ -25,52 +29,72 @@ def near(a: Column, b: Column) -> Column:
 
 
 def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(F.col(id_col).alias("id"), token_set(F.col(text_col)).alias("tokens")).filter(F.size("tokens") > 0)
+    """(id, key, tokens) of the rows with tokens; key is a digest of the set."""
+    sets = df.select(F.col(id_col).alias("id"), token_set(F.col(text_col)).alias("tokens")).filter(F.size("tokens") > 0)
+    return sets.select("id", F.unhex(F.sha2(F.array_join("tokens", " "), 256)).alias("key"), "tokens")
+
+
+def _firsts(sets: DataFrame) -> DataFrame:
+    """(key, set_id): set_id is the least id that has these tokens."""
+    return sets.groupBy("key").agg(F.min("id").alias("set_id"))
 
 
 def _distinct_sets(sets: DataFrame) -> DataFrame:
-    """(set_id, tokens): set_id is the least id that has these tokens."""
-    return sets.groupBy("tokens").agg(F.min("id").alias("set_id"))
+    """(set_id, tokens): one row for each set of tokens."""
+    first = _firsts(sets).select(F.col("set_id").alias("id"))
+    return sets.select("id", "tokens").join(first, "id", "left_semi").withColumnRenamed("id", "set_id")
+
+
+def _hashes(sets: DataFrame) -> DataFrame:
+    return sets.select("set_id", F.size("tokens").alias("size"), F.explode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("h"))
 
 
-def _prefixes(sets: DataFrame, rarity: DataFrame) -> DataFrame:
-    """A row for each set and token of its prefix, rarest tokens first."""
-    ranked = sets.select("set_id", F.explode("tokens").alias("token")).join(rarity, "token")
-    own = ranked.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("by"))
-    length = F.size("by") - F.ceil(F.size("by") * _UP / _DOWN).cast("int") + 1
-    return own.select("set_id", F.size("by").alias("size"), F.explode(F.slice("by", F.lit(1), length)).alias("t")).select("set_id", "size", F.col("t.token").alias("token"))
+def _prefixes(sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """(set_id, size, class, h, place) for each token of a set's prefix that other sets have too, rarest first; shared: (h, n) of such tokens."""
+    own = _hashes(sets).join(shared, "h").groupBy("set_id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("by"))
+    length, alone = F.col("size") - F.ceil(F.col("size") * _UP / _DOWN).cast("int") + 1, F.col("size") - F.size("by")
+    kept = own.filter(length > alone).select("set_id", "size", alone.alias("alone"), F.posexplode(F.slice("by", F.lit(1), length - alone)).alias("i", "t"))
+    sized = F.floor(F.log("size") / math.log(_DOWN / _UP) + 1e-9).cast("int")
+    return kept.select("set_id", "size", sized.alias("class"), F.col("t.h").alias("h"), (F.col("alone") + F.col("i") + 1).alias("place"))
 
 
 def _set_pairs(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
     """(a, b) of near distinct sets: a < b within one table, or a of left and b of right."""
-    every = left if right is None else left.unionAll(right)
-    rarity = every.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    own = checkpointed(_prefixes(left, rarity))
-    a = own.select(F.col("set_id").alias("a"), F.col("size").alias("m"), "token")
-    b = (own if right is None else _prefixes(right, rarity)).select(F.col("set_id").alias("b"), F.col("size").alias("n"), "token")
-    fits = F.least("m", "n") * _DOWN >= F.greatest("m", "n") * _UP
-    pairs = a.join(b, "token").filter(fits if right is not None else fits & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    every = _hashes(left) if right is None else _hashes(left).unionAll(_hashes(right))
+    shared = every.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    own = materialised(_prefixes(left, shared))
+    other = own if right is None else _prefixes(right, shared)
+    # sets of near sizes are in one class of sizes or in neighbouring ones; near ones join a row a class
+    steps = (0, 1) if right is None else (-1, 0, 1)
+    a = own.select(F.col("set_id").alias("a"), F.col("size").alias("m"), F.col("place").alias("i"), "h", "class")
+    b = other.select(F.col("set_id").alias("b"), F.col("size").alias("n"), F.col("place").alias("j"), "h", F.col("class").alias("own"), F.explode(F.array(*[F.col("class") - k for k in steps])).alias("class"))
+    joined = a.join(b, ["h", "class"]).filter(F.least("m", "n") * _DOWN >= F.greatest("m", "n") * _UP)
+    joined = joined.filter((F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) + 1) * (_UP + _DOWN) >= (F.col("m") + F.col("n")) * _UP)
+    if right is None:
+        joined = joined.filter((F.col("a") < F.col("b")) | (F.col("a") != F.col("b")) & (F.col("own") != F.col("class")))
+        joined = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = joined.select("a", "b").distinct()
     x, y = left.select(F.col("set_id").alias("a"), F.col("tokens").alias("x")), (left if right is None else right).select(F.col("set_id").alias("b"), F.col("tokens").alias("y"))
     return pairs.join(x, "a").join(y, "b").filter(near(F.col("x"), F.col("y"))).select("a", "b")
 
 
 def near_pairs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(a, b), a < b: representatives of near but different token sets; equal sets have one representative, see representatives."""
-    return _set_pairs(checkpointed(_distinct_sets(token_sets(df, id_col, text_col))))
+    return _set_pairs(materialised(_distinct_sets(materialised(token_sets(df, id_col, text_col)))))
 
 
 def representatives(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, set_id): for each row with tokens, the least id with the same token set."""
-    sets = token_sets(df, id_col, text_col)
-    return sets.join(_distinct_sets(sets), "tokens").select("id", "set_id")
+    keys = token_sets(df, id_col, text_col).select("id", "key")
+    return keys.join(_firsts(keys), "key").select("id", "set_id")
 
 
 def first_near(df: DataFrame, others: DataFrame, id_col: str, text_col: str, other_id: str, other_text: str) -> DataFrame:
     """(id, match): for each row, the least other_id of the rows near it; null for none."""
-    left = _distinct_sets(token_sets(df, id_col, text_col))
-    pairs = _set_pairs(left, _distinct_sets(token_sets(others, other_id, other_text)))
+    sets, more = materialised(token_sets(df, id_col, text_col)), materialised(token_sets(others, other_id, other_text))
+    pairs = _set_pairs(_distinct_sets(sets), _distinct_sets(more))
     best = pairs.groupBy(F.col("a").alias("set_id")).agg(F.min("b").alias("match"))
-    found = representatives(df, id_col, text_col).join(best, "set_id").select("id", "match")
+    found = sets.select("id", "key").join(_firsts(sets), "key").join(best, "set_id").select("id", "match")
     return df.select(F.col(id_col).alias("id")).join(found, "id", "left")
 
 
@@ -82,13 +106,15 @@ def greedy_kept(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     undecided set settles in every round, so rounds go on until none is left. Rows without
     tokens are kept; of equal sets only the first can be.
     """
-    edges = checkpointed(near_pairs(df, id_col, text_col))
-    state = checkpointed(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
+    sets = materialised(token_sets(df, id_col, text_col))
+    edges = materialised(_set_pairs(_distinct_sets(sets)))
+    state = materialised(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
     while not state.filter("kept IS NULL").isEmpty():
         smaller = edges.join(state.select(F.col("node").alias("a"), F.col("kept").alias("a_kept")), "a")
         seen = smaller.groupBy(F.col("b").alias("node")).agg(F.max(F.coalesce("a_kept", F.lit(False))).alias("beaten"), F.max(F.col("a_kept").isNull()).alias("waits"))
         now = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("beaten", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True)
-        state = checkpointed(state.join(seen, "node", "left").select("node", now.alias("kept")))
-    sets = representatives(df, id_col, text_col).join(state, F.col("set_id") == F.col("node"), "left")
-    verdict = sets.select("id", ((F.col("id") == F.col("set_id")) & F.coalesce("kept", F.lit(True))).alias("kept"))
+        state = materialised(state.join(seen, "node", "left").select("node", now.alias("kept")))
+    keys = sets.select("id", "key")
+    judged = keys.join(_firsts(keys), "key").join(state, F.col("set_id") == F.col("node"), "left")
+    verdict = judged.select("id", ((F.col("id") == F.col("set_id")) & F.coalesce("kept", F.lit(True))).alias("kept"))
     return df.select(F.col(id_col).alias("id")).join(verdict, "id", "left").select("id", F.coalesce("kept", F.lit(True)).alias("kept"))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from quern.functions import edits as E
 from quern.functions import fixed, rules
 from quern.functions import text as T
-from quern.operators import assemble, dictionary, metrics, noise, select, similarity
+from quern.operators import assemble, dictionary, gate, metrics, noise, select, similarity
 from quern.plans.base import chosen, documents, q, query, sql_chosen, sql_signoff, sql_u, sql_words, table
-from quern.plans.text_queries import SQL_TOKENS
+from quern.plans.text_queries import ALLOW, DRAFT_FINISH, SQL_MARKDOWN, SQL_TOKENS, TERMS, sql_known_error, sql_length, sql_wrapper
+from quern.sources.scratch import materialised
 
 SEED = "quern"
 
@@ -97,12 +98,31 @@ def _sql_stems() -> str:
     return " UNION ALL ".join(out)
 
 
-CASUAL_TAIL = ["", " i", " dont", " ur", " 4x", " e.g. u.s.a."]
-_SPELL = f"""WITH src AS (SELECT doc_id, text || {sql_chosen(CASUAL_TAIL)} AS text FROM documents), toks AS {_SQL_TOK},
+CASUAL_TAIL = ["", " i", " dont", " ur", " 4x", " e.g. u.s.a.", " Dear Mr. Onthing and Dr. Thing.", " (Zqxxy) NATO", "\nZqxyx then Names", " in Names"]
+
+
+def _sql_opening(text: str) -> str:
+    """Tokens of a text, those that open a sentence with a mark before them: a honorific's period is hidden, then a mark goes after each end of a sentence and what may stand before its next word."""
+    hidden = f"regexp_replace({text}, '\\b({'|'.join(fixed.HONORIFICS)})\\.', '\\1' || chr(57345), 'g')"
+    marked = f"regexp_replace({hidden}, '(^|[.!?\\n])([ \\t\"''“‘”’()\\[\\]]*)', '\\1\\2' || chr(57344), 'g')"
+    return f"regexp_extract_all({marked}, chr(57344) || '?{_TOK}')"
+
+
+def _sql_spell(docs: str) -> str:
+    straight = f"regexp_replace(translate(text, '’‘ʼ', ''''''''), '{_DOTTED}', ' ', 'g')"
+    return f"""src AS (SELECT doc_id, text FROM {docs}), toks AS {_SQL_TOK},
+opening AS (SELECT doc_id, pos, ltrim(t, chr(57344)) AS token, starts_with(t, chr(57344)) AS opens FROM (SELECT doc_id, unnest(tk) AS t, unnest(range(1, len(tk) + 1)) AS pos FROM (SELECT doc_id, {_sql_opening(straight)} AS tk FROM src))),
 dict AS (SELECT token AS word FROM toks WHERE {_lower('token')} AND NOT regexp_matches(token, '[0-9]') GROUP BY token HAVING count(*) >= {LEAST}),
-vocab AS (SELECT DISTINCT token FROM toks WHERE {_lower('token')} AND NOT regexp_matches(token, '[0-9]')),
+vocab AS (SELECT DISTINCT token FROM toks WHERE NOT regexp_matches(token, '[0-9]') UNION SELECT DISTINCT lower(token) FROM toks WHERE NOT regexp_matches(token, '[0-9]')),
 bases AS (SELECT token, token AS base FROM vocab UNION ALL SELECT token, regexp_replace(token, '''s$', '') FROM vocab WHERE ends_with(token, '''s') UNION ALL SELECT token, regexp_replace(token, '''$', '') FROM vocab WHERE ends_with(token, '''')),
-known AS (SELECT DISTINCT token FROM ({_sql_stems()}) JOIN dict ON stem = word)"""
+known AS (SELECT DISTINCT token FROM ({_sql_stems()}) JOIN dict ON stem = word),
+slips AS (SELECT doc_id, min_by(reason, pos) AS reason FROM (SELECT doc_id, pos, CASE WHEN token = 'i' THEN 'lowercase_i' WHEN lower(token) IN ({', '.join(map(q, fixed.CASUAL))}) THEN 'missing_apostrophe' WHEN token IN ('u', 'ur') THEN 'textspeak'
+  WHEN {_lower('token')} THEN CASE WHEN token NOT IN (SELECT token FROM known) THEN 'unknown_word' END
+  WHEN opens AND NOT (length(token) > 1 AND token = upper(token) AND token <> lower(token)) THEN CASE WHEN token NOT IN (SELECT token FROM known) AND lower(token) NOT IN (SELECT token FROM known) THEN 'unknown_word' END END AS reason
+  FROM opening WHERE NOT regexp_matches(token, '[0-9]')) WHERE reason IS NOT NULL GROUP BY doc_id)"""
+
+
+_SPELL = "WITH " + _sql_spell(f"(SELECT doc_id, text || {sql_chosen(CASUAL_TAIL)} AS text FROM documents)")
 
 
 def _spelling_source(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -112,38 +132,83 @@ def _spelling_source(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
     return docs, tok.filter(low).groupBy(F.col("token").alias("word")).count().filter(F.col("count") >= LEAST).select("word")
 
 
-@query("spelling_reasons", f"{_SPELL} SELECT doc_id AS id, min_by(reason, pos) AS reason FROM (SELECT doc_id, pos, CASE WHEN token = 'i' THEN 'lowercase_i' WHEN lower(token) IN ({', '.join(map(q, fixed.CASUAL))}) THEN 'missing_apostrophe' WHEN token IN ('u', 'ur') THEN 'textspeak' WHEN {_lower('token')} AND token NOT IN (SELECT token FROM known) THEN 'unknown_word' END AS reason FROM toks WHERE NOT regexp_matches(token, '[0-9]')) WHERE reason IS NOT NULL GROUP BY doc_id")
+@query("spelling_reasons", f"{_SPELL} SELECT doc_id AS id, reason FROM slips")
 def spelling_reasons(spark, d):
     return dictionary.spelling_reasons(*_spelling_source(spark, d), "doc_id", "text")
 
 
-@query("unknown_words", f"{_SPELL} SELECT doc_id AS id, count(*)::BIGINT AS n, sha256(string_agg(token, ' ' ORDER BY pos)) AS words FROM toks WHERE token IN (SELECT token FROM vocab) AND token NOT IN (SELECT token FROM known) GROUP BY doc_id")
+# short texts of words that the dictionary mostly knows, so that every rule of the gate decides some
+_COMMON = "array_to_string(list_filter(regexp_split_to_array(regexp_replace(text, '[^A-Za-z .]', ' ', 'g'), ' +'), lambda w: length(w) BETWEEN 2 AND 4)[1:12], ' ')"
+_GATED = f"(SELECT doc_id, {sql_chosen(['', 'Sure! Here is it. ', '', '# Head' + chr(10)])} || {_COMMON} || (CASE WHEN doc_id % 7 = 0 THEN {sql_chosen(CASUAL_TAIL)} ELSE '' END) || (CASE WHEN doc_id % 5 = 0 THEN chr(10) || 'Bye now' ELSE '' END) AS text FROM documents)"
+
+
+@query(
+    "pregate_reasons",
+    f"""WITH {_sql_spell(_GATED)} SELECT d.doc_id AS id, coalesce({sql_wrapper('d.text')}, {sql_known_error('d.text')}, {sql_length('d.text', None)}, slips.reason,
+  CASE WHEN d.doc_id % 2 = 0 THEN CASE WHEN {DRAFT_FINISH.replace('doc_id', 'd.doc_id')} IS DISTINCT FROM 'stop' THEN 'truncated' WHEN d.doc_id % 4 = 0 AND {sql_signoff('d.text')} IS NULL THEN 'no_signoff' END END) AS reason FROM src d LEFT JOIN slips ON d.doc_id = slips.doc_id""",
+)
+def pregate_reasons(spark, d):
+    """The whole pre-gate: wrappers, known errors, lengths and spelling, then the rules of drafts for every second text."""
+    words = F.filter(F.split(F.regexp_replace("text", "[^A-Za-z .]", " "), " +"), lambda w: F.length(w).between(2, 4))
+    tail = F.concat(F.when(F.col("doc_id") % 7 == 0, chosen(CASUAL_TAIL)).otherwise(""), F.when(F.col("doc_id") % 5 == 0, "\nBye now").otherwise(""))
+    docs = documents(spark, d).withColumn("text", F.concat(chosen(["", "Sure! Here is it. ", "", "# Head\n"]), F.array_join(F.slice(words, 1, 12), " "), tail))
+    tok = dictionary.tokens(docs, "doc_id", "text")
+    low = (F.col("token") == F.lower("token")) & (F.col("token") != F.upper("token")) & ~F.col("token").rlike(r"\d")
+    known = tok.filter(low).groupBy(F.col("token").alias("word")).count().filter(F.col("count") >= LEAST).select("word")
+    return gate.pregate_reasons(docs, known, "doc_id", "text", drafted=F.col("doc_id") % 2 == 0, finish=F.expr(DRAFT_FINISH), needs_signoff=F.col("doc_id") % 4 == 0)
+
+
+@query("unknown_words", f"{_SPELL} SELECT doc_id AS id, count(*)::BIGINT AS n, sha256(string_agg(token, ' ' ORDER BY pos)) AS words FROM toks WHERE {_lower('token')} AND NOT regexp_matches(token, '[0-9]') AND token NOT IN (SELECT token FROM known) GROUP BY doc_id")
 def unknown_words(spark, d):
     w = dictionary.unknown_words(*_spelling_source(spark, d), "doc_id", "text")
     return w.select("id", F.size("words").cast("long").alias("n"), F.sha2(F.array_join("words", " "), 256).alias("words"))
 
 
-@query("dictionary_known", f"{_SPELL} SELECT token FROM known")
+@query("dictionary_known", f"{_SPELL} SELECT token FROM known WHERE {_lower('token')} AND token IN (SELECT token FROM toks)")
 def dictionary_known(spark, d):
     docs, words = _spelling_source(spark, d)
     tok = dictionary.tokens(docs, "doc_id", "text").filter((F.col("token") == F.lower("token")) & (F.col("token") != F.upper("token")) & ~F.col("token").rlike(r"\d"))
     return dictionary.known_words(tok, words)
 
 
-@query("ocr_run_together")
-def ocr_run_together(spark, d):
-    docs, words = _spelling_source(spark, d)
-    return dictionary.run_together(docs, words, "doc_id", "text")
+_OCR_TAIL = ["", " theand", " ab-\ncd", " a1b", "", " ofthe x", " 12a", " Andthe"]
+_SQL_OCR = f"""(SELECT doc_id, text || {sql_chosen(_OCR_TAIL)} AS text FROM documents)"""
+
+
+@query(
+    "ocr_reasons",
+    f"""WITH src AS (SELECT * FROM {_SQL_OCR}), toks AS {_SQL_TOK},
+dict AS (SELECT token AS word FROM toks WHERE {_lower('token')} AND NOT regexp_matches(token, '[0-9]') GROUP BY token HAVING count(*) >= {LEAST}),
+words AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[\\p{{L}}\\p{{Nl}}\\p{{No}}]+'))) AS token FROM src),
+long AS (SELECT DISTINCT token FROM words WHERE length(token) >= 5 AND {_lower('token')}),
+cuts AS (SELECT token, token[1:i] AS l, token[i + 1:] AS r FROM (SELECT token, unnest(range(2, length(token) - 1)) AS i FROM long)),
+vocab AS (SELECT token FROM long UNION SELECT l FROM cuts UNION SELECT r FROM cuts), bases AS (SELECT token, token AS base FROM vocab), known AS (SELECT DISTINCT token FROM ({_sql_stems()}) JOIN dict ON stem = word),
+together AS (SELECT DISTINCT token FROM cuts WHERE token NOT IN (SELECT token FROM known) AND l IN (SELECT token FROM known) AND r IN (SELECT token FROM known))
+SELECT doc_id AS id, CASE WHEN regexp_matches(text, '[\\p{{L}}\\p{{Nl}}\\p{{No}}]-\n[\\p{{L}}\\p{{Nl}}\\p{{No}}]') THEN 'ocr_hyphen_break' WHEN regexp_matches(text, '[\\p{{L}}\\p{{Nl}}\\p{{No}}][0-9]+[\\p{{L}}\\p{{Nl}}\\p{{No}}]') THEN 'ocr_digit_in_word'
+  WHEN doc_id IN (SELECT doc_id FROM words JOIN together USING (token)) THEN 'ocr_run_together' END AS reason FROM src""",
+)
+def ocr_reasons(spark, d):
+    docs = documents(spark, d).withColumn("text", F.concat("text", chosen(_OCR_TAIL)))
+    low = (F.col("token") == F.lower("token")) & (F.col("token") != F.upper("token")) & ~F.col("token").rlike(r"\d")
+    words = dictionary.tokens(docs, "doc_id", "text").filter(low).groupBy(F.col("token").alias("word")).count().filter(F.col("count") >= LEAST).select("word")
+    return dictionary.ocr_reasons(docs, words, "doc_id", "text")
 
 
 # ---- filters, quotas, samples, splits ----
 
 
-@query("review_filter", f"SELECT doc_id FROM documents WHERE lang = 'en' AND doc_id % 7 <> 0 AND coalesce(CASE doc_id % 3 WHEN 0 THEN true WHEN 1 THEN false END, false) AND NOT contains(lower(text), 'language model') AND NOT regexp_matches(text, {q(fixed.HEADING)})")
+_REVIEW = ["", " As an AI model", " Certainly! it is", "", " x\n- a\n* b\n- c", "\n#### h", "```", " a | b | c | d", "\n- a\n- b\n1. c"]
+
+
+@query(
+    "review_filter",
+    f"""SELECT doc_id FROM (SELECT doc_id, lang, text || {sql_chosen(_REVIEW)} AS text, CASE doc_id % 11 WHEN 0 THEN true WHEN 1 THEN false END AS synthetic FROM documents)
+WHERE lang = 'en' AND doc_id % 7 <> 0 AND coalesce(CASE doc_id % 3 WHEN 0 THEN true WHEN 1 THEN false END, false) AND NOT coalesce(synthetic, false) AND NOT ({' OR '.join(f"contains(lower(text), {q(x)})" for x in fixed.AI_PHRASES)}) AND NOT ({SQL_MARKDOWN})""",
+)
 def review_filter(spark, d):
-    docs = documents(spark, d, "text", "lang").withColumns({"deleted": F.expr("doc_id % 7 = 0"), "reviewed": F.expr("CASE doc_id % 3 WHEN 0 THEN true WHEN 1 THEN false END")})
-    good = (F.col("lang") == "en") & ~F.coalesce("deleted", F.lit(False)) & F.coalesce("reviewed", F.lit(False))
-    return docs.filter(good & ~F.lower("text").contains("language model") & ~F.col("text").rlike(fixed.HEADING)).select("doc_id")
+    docs = documents(spark, d, "text", "lang").withColumn("text", F.concat("text", chosen(_REVIEW)))
+    flags = {"deleted": F.expr("doc_id % 7 = 0"), "reviewed": F.expr("CASE doc_id % 3 WHEN 0 THEN true WHEN 1 THEN false END"), "synthetic": F.expr("CASE doc_id % 11 WHEN 0 THEN true WHEN 1 THEN false END")}
+    return docs.withColumns(flags).filter(rules.reviewed_message(F.col("lang"), F.col("text"), F.col("deleted"), F.col("reviewed"), F.col("synthetic"))).select("doc_id")
 
 
 @query("score_filter", "SELECT doc_id FROM labels WHERE coalesce(quality < 0.1, true) AND coalesce(toxic < 0.1, true)")
@@ -182,6 +247,40 @@ def selection_report(spark, d):
     return select.selection_report(documents(spark, d, "source", "lang", "text").withColumn("reason", F.expr(_REASON)), "source", "doc_id", "reason", 10)
 
 
+_TURN, _WANT = ["src2", "src0", "src1"], 25
+_STAGE = "CASE WHEN len({w}) NOT BETWEEN 20 AND 400 THEN 'band' WHEN lang <> 'en' THEN 'language' END"
+
+
+def _sql_turns() -> str:
+    """The sources one after the other: of each, stages by what was picked before, cut at the want-th pick."""
+    w = sql_words("text")
+    parts = [f"WITH base AS (SELECT doc_id, source, {_STAGE.format(w=w)} AS reason, array_to_string(({sql_words('lower(text)')})[1:2], ' ') AS norm FROM documents)"]
+    for k, name in enumerate(_TURN):
+        before = " UNION ALL ".join(f"SELECT norm FROM seen{j} WHERE stage = 'kept'" for j in range(k)) or "SELECT NULL AS norm WHERE false"
+        parts.append(
+            f"""marked{k} AS (SELECT *, coalesce(reason, CASE WHEN norm IN ({before}) OR row_number() OVER (PARTITION BY reason IS NULL, norm ORDER BY doc_id) > 1 THEN 'duplicate' END, 'kept') AS stage FROM base WHERE source = '{name}'),
+seen{k} AS (SELECT *, {k} AS rnk FROM (SELECT *, coalesce(sum((stage = 'kept')::INT) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM marked{k}) WHERE before < {_WANT})"""
+        )
+    return ",\n".join(parts) + ",\nevery AS (" + " UNION ALL ".join(f"SELECT * FROM seen{k}" for k in range(len(_TURN))) + ")"
+
+
+def _turns(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Texts count as the same by their first two words here, so that there are duplicates to drop."""
+    docs = documents(spark, d, "source", "lang", "text").withColumn("head", F.array_join(F.slice(T.words(F.col("text")), 1, 2), " "))
+    reason = F.when(~rules.in_word_band(F.col("text")), "band").when(F.col("lang") != "en", "language")
+    return select.selected(docs, _TURN, _WANT, "doc_id", reason, "source", "head")
+
+
+@query("selected_rows", f"{_sql_turns()} SELECT doc_id, source, row_number() OVER (ORDER BY rnk, doc_id) AS number FROM every WHERE stage = 'kept'")
+def selected_rows(spark, d):
+    return _turns(spark, d)[0].select("doc_id", "source", "number")
+
+
+@query("selection_stages", f"{_sql_turns()} SELECT source, stage, count(*) AS n FROM every GROUP BY source, stage UNION ALL SELECT source, 'fetched', count(*) FROM every GROUP BY source")
+def selection_stages(spark, d):
+    return _turns(spark, d)[1]
+
+
 @query("exact_dedup", f"SELECT min(doc_id) AS doc_id, count(*)::BIGINT AS copies FROM (SELECT doc_id, array_to_string({sql_words('lower(text)')}, ' ') AS k FROM documents) GROUP BY k")
 def exact_dedup(spark, d):
     key = F.xxhash64(T.collapsed(F.lower("text"))), F.md5(T.collapsed(F.lower("text")))
@@ -245,6 +344,14 @@ def identity_sample(spark, d):
     return assemble.repeated(rows, 2).select("instruction", "output", F.col("copy").cast("long").alias("copy"))
 
 
+@query("probe_pass_count", f"SELECT system, count(*) AS n, count(*) FILTER (WHERE ok)::BIGINT AS passed FROM (SELECT instruction, s AS system, CASE WHEN s THEN contains(instruction, '1') ELSE contains(instruction, '2') END AS ok FROM {_sql_values(_QUESTIONS, 'instruction')} CROSS JOIN (VALUES (true), (false)) AS v(s)) GROUP BY system")
+def probe_pass_count(spark, d):
+    """Probes with the right answer, with and without the system prompt."""
+    probes = spark.createDataFrame(_QUESTIONS, "kind string, instruction string").select("instruction", F.explode(F.array(F.lit(True), F.lit(False))).alias("system"))
+    answer = F.concat(F.lit("I am "), F.when(F.col("instruction").contains(F.when(F.col("system"), "1").otherwise("2")), "quernbot").otherwise("ChatGPT"))
+    return metrics.passed(probes.withColumn("answer", answer), "answer", "quernbot", ["system"])
+
+
 @query("probe_matrix", f"SELECT instruction, s AS system FROM {_sql_values(_QUESTIONS[:5], 'instruction')} CROSS JOIN (VALUES (true), (false)) AS v(s)")
 def probe_matrix(spark, d):
     probes = spark.createDataFrame(_QUESTIONS[:5], "kind string, instruction string")
@@ -406,18 +513,30 @@ def redacted_records(spark, d):
     return metrics.redacted(docs, "license", ["text"]).select("doc_id", "human", "text")
 
 
-_LEX = [("the", "teh"), ("and", "adn"), ("that", "taht"), ("les", "le"), ("und", "unt"), ("los", "lso")]
+_LEX = [("the", "teh"), ("and", "adn"), ("that", "taht"), ("les", "le"), ("und", "unt"), ("los", "lso"), ("of the", "off the"), ("in the of", "x"), ("on-the", "on the"), *(fixed.EGGCORNS | fixed.HOMOPHONES).items()]
+_LEX_TAIL = ["", " Deep-Seated fear", " for all intents and purposes.", " you’re a  lot", " a lot of on-the", " THEY'RE it’s", " their_ x.their", " bear in mindful"]
 
 
-@query("lexicon_matches", f"WITH {_WORDS_AT} SELECT doc_id AS id, start, start + length(word) AS \"end\", phrase, wrong FROM wat JOIN (VALUES {', '.join(f'({q(a)}, {q(b)})' for a, b in _LEX)}) AS l(phrase, wrong) ON phrase = lower(replace(word, '’', ''''))")
+@query(
+    "lexicon_matches",
+    f"""WITH documents AS (SELECT doc_id, text || {sql_chosen(_LEX_TAIL)} AS text FROM documents), {_WORDS_AT}, l AS (SELECT * FROM (VALUES {', '.join(f'({q(a)}, {q(b)})' for a, b in _LEX)}) AS l(phrase, wrong)),
+hit AS (SELECT doc_id AS id, text, start, start + length(phrase) AS stop, phrase, wrong FROM wat JOIN l ON starts_with(phrase, lower(replace(word, '’', ''''))) AND lower(replace(substr(text, start::INT + 1, length(phrase)), '’', '''')) = phrase)
+SELECT id, start, stop AS "end", phrase, wrong FROM hit WHERE NOT regexp_matches(substr(text, stop::INT + 1, 1), '[\\p{{L}}\\p{{N}}_''’]') AND (start = 0 OR NOT regexp_matches(substr(text, start::INT, 1), '[\\p{{L}}\\p{{N}}_''’]'))""",
+)
 def lexicon_matches(spark, d):
-    return noise.lexicon_matches(documents(spark, d), "doc_id", "text", spark.createDataFrame(_LEX, "phrase string, wrong string"))
+    docs = documents(spark, d).withColumn("text", F.concat("text", chosen(_LEX_TAIL)))
+    return noise.lexicon_matches(docs, "doc_id", "text", spark.createDataFrame(_LEX, "phrase string, wrong string"))
+
+
+_GAPS = "regexp_replace(regexp_replace(text, '[\\p{L}\\p{N}_]', 'ww', 'g'), '[^w ]', '.', 'g')"
 
 
-@query("space_and_period_candidates", "SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_] [A-Za-z0-9_]'))::BIGINT >= 0 AS ok, ends_with(t, '.') AND NOT ends_with(t, '..') AS drop_period FROM (SELECT doc_id, text, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM documents)")
+@query("space_and_period_candidates", f"SELECT doc_id, ((length(g) - length(replace(g, 'w w', ''))) // 3)::BIGINT AS double_space, ends_with(t, '.') AND NOT ends_with(t, '..') AS drop_period FROM (SELECT doc_id, {_GAPS} AS g, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM documents)")
 def space_and_period_candidates(spark, d):
+    """How many single spaces between words could be doubled, and whether the last period could go."""
     t = F.regexp_replace("text", r"[\s\x0b]+\z", "")
-    return documents(spark, d).select("doc_id", (F.regexp_count("text", F.lit(r"(?<=\w) (?=\w)")) >= 0).alias("ok"), (t.endswith(".") & ~t.endswith("..")).alias("drop_period"))
+    gaps = F.regexp_count("text", F.lit(r"(?<=[\p{L}\p{N}_]) (?=[\p{L}\p{N}_])"))
+    return documents(spark, d).select("doc_id", gaps.cast("long").alias("double_space"), (t.endswith(".") & ~t.endswith("..")).alias("drop_period"))
 
 
 @query("noise_variants")
@@ -428,7 +547,7 @@ def noise_variants(spark, d):
 
 def _noisy_scores(spark: SparkSession, d: str) -> DataFrame:
     rows = noise.variants(documents(spark, d), "doc_id", "text", 1, SEED)
-    return metrics.scored(rows, "input", "output", E.word_edits(F.col("input"), F.col("output")))
+    return metrics.scored(rows, "input", "output", F.col("word_edits"))
 
 
 @query("noise_metrics")
@@ -439,8 +558,9 @@ def noise_metrics(spark, d):
 
 @query("edit_kind_histogram")
 def edit_kind_histogram(spark, d):
+    """Kinds of the changed words; other for texts with a change of no kind."""
     rows = noise.variants(documents(spark, d), "doc_id", "text", 1, SEED)
-    return rows.select(F.explode_outer(E.kinds_of_edits(F.col("input"), F.col("output"))).alias("kind")).groupBy(F.coalesce("kind", F.lit("other")).alias("kind")).agg(F.count("*").alias("n"))
+    return rows.select(F.explode(F.coalesce("kinds", F.array(F.lit("other")))).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("contract_share")
@@ -453,24 +573,20 @@ def contract_share(spark, d):
 
 @query("pair_filter")
 def pair_filter(spark, d):
-    """The first failing rule of pairs of a whole text and noise: cheap rules first, the diff after them."""
-    pairs = noise.variants(documents(spark, d), "doc_id", "text", 1, SEED)
-    n, m = T.n_words(F.col("input")), T.n_words(F.col("output"))
-    pairs = pairs.withColumns({"edits": E.word_edits(F.col("input"), F.col("output")), "kinds": E.kinds_of_edits(F.col("input"), F.col("output"))})
-    clean = F.coalesce(rules.wrapper_reason(F.col("input")), rules.known_error_reason(F.col("input")), rules.length_reason(F.col("input"), max_chars=fixed.PAIR_CHARS))
-    pii = F.coalesce(rules.pii_reason_any(F.col("input")), rules.pii_reason_any(F.col("output")))
-    reason = F.when(~n.between(*fixed.PAIR_WORDS) | ~m.between(*fixed.PAIR_WORDS), "word_count").when(~F.col("edits").between(*fixed.PAIR_EDITS), "edit_count").when(F.col("kinds").isNull(), "edit_type")
-    return pairs.select("id", F.coalesce(reason, F.concat(F.lit("clean_"), clean), F.concat(F.lit("pii_"), pii)).alias("reason"))
+    """The first failing rule of pairs of a whole text and noise; the dictionary is the words that the texts repeat."""
+    pairs = materialised(noise.variants(documents(spark, d), "doc_id", "text", 1, SEED).select("id", "input", "output"))
+    _, words = _spelling_source(spark, d)
+    return gate.pair_reasons(pairs, words, TERMS, ALLOW)
 
 
 def training_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: gate, remove near duplicates, add noise, split by group and build chat records."""
     docs = documents(spark, d)
     c = F.col("text")
-    good = docs.filter(F.coalesce(rules.wrapper_reason(c), rules.known_error_reason(c), rules.length_reason(c), rules.pii_reason_any(c)).isNull())
+    good = materialised(docs.filter(gate.cheap_reason(c).isNull() & rules.pii_reason_any(c).isNull()))
     kept = similarity.greedy_kept(good, "doc_id", "text").filter("kept").select(F.col("id").alias("doc_id"))
     pairs = noise.variants(good.join(kept, "doc_id", "left_semi"), "doc_id", "text", 2, SEED)
-    pairs = assemble.short_enough(pairs, "input", "output").withColumn("kind", F.lit("task"))
+    pairs = materialised(assemble.short_enough(pairs, "input", "output").select("id", "variant", "input", "output").withColumn("kind", F.lit("task")))
     split = select.group_split(pairs, "kind", "id", 0.1, SEED)
     said = assemble.chat_messages("You add small human errors.", F.col("input"), F.lit(""), F.col("output"))
     return split.select("id", "variant", "split", said.alias("messages"))

@@ -218,10 +218,13 @@ def gate_reason_histogram(spark, d):
     return gate_reasons(spark, d).groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-DUMPS = ["", "\n- a\n* b\n1. c", "\na | b | c | d", "\n```x", "\n# h", "\n- a\n- b"]
+DUMPS = ["", "\n- a\n* b\n- c", "\n- a\n* b\n1. c", "\n• a\n• b\n• c", "\na | b | c | d", " x ```y", "\n# h", "\n####### h", "\n- a\n- b", "\r- a\r- b\x0b* c"]
+_SQL_LINES = "string_split_regex(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]')"
+#: A condition on text.
+SQL_MARKDOWN = f"contains(text, '```') OR len(list_filter({_SQL_LINES}, lambda x: regexp_matches(x, '^\\s*[-*] '))) >= 3 OR len(list_filter({_SQL_LINES}, lambda x: regexp_matches(x, '^#+ ') OR length(x) - length(replace(x, '|', '')) >= 3)) > 0"
 
 
-@query("markdown_dump", f"SELECT doc_id, regexp_matches(text, {q(fixed.FENCE)}) OR len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\\s*(?:[-*•]|[0-9]+\\.) '))) >= 3 OR regexp_matches(text, {q(fixed.HEADING)}) OR len(list_filter(string_split(text, chr(10)), lambda x: length(x) - length(replace(x, '|', '')) >= 3)) > 0 AS dump FROM {sql_with(DUMPS)}")
+@query("markdown_dump", f"SELECT doc_id, {SQL_MARKDOWN} AS dump FROM {sql_with(DUMPS)}")
 def markdown_dump(spark, d):
     return with_snippet(documents(spark, d), DUMPS).select("doc_id", rules.markdown_dump(F.col("text")).alias("dump"))
 
@@ -263,11 +266,16 @@ def prefix_strip(spark, d):
     return with_snippet(documents(spark, d), INSTRUCT, True).select("doc_id", T.prefix_stripped(F.col("text")).alias("r")).select("doc_id", F.col("r.text").alias("body"), F.col("r.how").alias("how"))
 
 
-@query("levenshtein_tokens", f"SELECT doc_id, levenshtein(w[1], w[2])::BIGINT AS d12, levenshtein(lower(w[2]), lower(w[3]))::BIGINT AS d23 FROM (SELECT doc_id, {sql_words("regexp_replace(text, '[^ -~]', '?', 'g')")} AS w FROM documents) WHERE len(w) >= 3")
+_PLAIN = sql_words("regexp_replace(text, '[^ -~]', '?', 'g')")
+
+
+@query("levenshtein_tokens", f"SELECT doc_id, count(*) AS n, sum(levenshtein(w, v))::BIGINT AS d, sum(levenshtein(lower(w), lower(v)))::BIGINT AS folded FROM (SELECT doc_id, unnest(w[1:len(w) - 1]) AS w, unnest(w[2:]) AS v FROM (SELECT doc_id, {_PLAIN} AS w FROM documents) WHERE len(w) >= 2) GROUP BY doc_id")
 def levenshtein_tokens(spark, d):
-    """Other than ASCII characters count as one question mark each: DuckDB measures bytes."""
-    w = documents(spark, d).select("doc_id", T.words(F.regexp_replace("text", "[^ -~]", "?")).alias("w")).filter(F.size("w") >= 3)
-    return w.select("doc_id", F.levenshtein(F.col("w")[0], F.col("w")[1]).cast("long").alias("d12"), F.levenshtein(F.lower(F.col("w")[1]), F.lower(F.col("w")[2])).cast("long").alias("d23"))
+    """Neighbouring words of whole texts. Other than ASCII characters count as one question mark each: DuckDB measures bytes."""
+    w = documents(spark, d).select("doc_id", T.words(F.regexp_replace("text", "[^ -~]", "?")).alias("w")).filter(F.size("w") >= 2)
+    pair = F.explode(F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("w"), F.slice("w", F.lit(2), F.size("w")).alias("v")))
+    pairs = w.select("doc_id", pair.alias("p")).select("doc_id", F.col("p")["w"].alias("w"), F.col("p")["v"].alias("v"))
+    return pairs.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.levenshtein("w", "v")).alias("d"), F.sum(F.levenshtein(F.lower("w"), F.lower("v"))).alias("folded"))
 
 
 QUOTES = ["don't", "they’re", "it's", "plain"]

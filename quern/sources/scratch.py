@@ -1,22 +1,30 @@
-"""Cutting the lineage of iterative plans through the folder that driver and executors share."""
+"""Cutting the lineage of plans through the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in spark.checkpoint.dir; a folder of our own only where that is unset."""
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a folder of our own only where that is unset and all run on one machine, else an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="quern-"))
+    return f"file://{_own[0]}"
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """The rows of df as a Parquet table in the shared folder: computed once, read by column, and there when executors are lost."""
     spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        if where is None:
-            if not _own:
-                _own.append(tempfile.mkdtemp(prefix="quern-checkpoints-"))
-            where = f"file://{_own[0]}"
-        spark.sparkContext.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/quern/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

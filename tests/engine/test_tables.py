@@ -112,7 +112,7 @@ def test_assembly(spark):
 def test_metrics(spark):
     rows = [("Hi there.\nAnn", "Hi there.\nAnn"), ("a b c", "a  b c"), ("a b c\nd", "a x c\ne"), ("one\ntwo", "one two")]
     df = spark.createDataFrame(rows, "t string, o string")
-    scores = metrics.scored(df, "t", "o", E.word_edits(F.col("t"), F.col("o")))
+    scores = metrics.scored(df, "t", "o", E.diffed(F.col("t"), F.col("o"))["word_edits"])
     s = metrics.summary(scores).first().asDict()
     assert s["n"] == 4 and s["changed"] == 0.75 and s["whitespace_only"] == 2 and s["one_to_three_edits"] == 1.0
     assert s["with_signoff"] == 3 and s["signoff_kept"] == 0.3333 and s["lines_kept"] == 0.75
@@ -158,7 +158,7 @@ def test_noise_properties():
     text = "Their plan could have worked, and it's definitely weird. See www.site.example/a b and report.pdf for Ann.\nBest wishes, Bo"
     lexicon = kinds = 0
     for i in range(400):
-        edits = E.chosen(E.Places(text), E.Draws("s", i))
+        edits = E.chosen(E.places(text), E.Draws("s", i))
         assert 1 <= len(edits) <= 3 and sum(e[3] == "double_space" for e in edits) <= 1
         spans = sorted((s, e) for s, e, *_ in edits)
         assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
@@ -168,8 +168,8 @@ def test_noise_properties():
     assert 0.62 < lexicon / kinds < 0.78
     assert E.injected(text, E.Draws(1)) == E.injected(text, E.Draws(1)) and E.injected("", E.Draws(1)) == ""
     with pytest.raises(ValueError):
-        E.chosen(E.Places("x"), E.Draws(1), 2, 1)
-    slips = [E.Places("keyboard").slip(0, 8, E.Draws(i)) for i in range(50)]
+        E.chosen(E.places("x"), E.Draws(1), 2, 1)
+    slips = [E.places("keyboard")["fat_finger"][0][2](E.Draws(i)) for i in range(50)]
     assert all(s[0] == "k" and sum(a != b for a, b in zip(s, "keyboard")) == 1 for s in slips)
 
 
