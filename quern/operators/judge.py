@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
-from quern.functions.text import cleanliness_verdict
+from quern.functions.text import cleanliness_verdict, meaning_verdict
 from quern.operators.metrics import strict_verdicts
 
 
@@ -43,5 +43,21 @@ def cleanliness(df: DataFrame, cache: DataFrame, id_col: str, text_col: str, cli
     return replies.join(texts, "id").select("id", "sha256", cleanliness_verdict(F.col("reply")).alias("verdict"))
 
 
+def meaning_messages(clean: str, wrong: str) -> list[dict[str, str]]:
+    return [{"role": "user", "content": f"{fixed.MEANING_QUESTION}\n\nVersion A: {clean}\n\nVersion B: {wrong}"}]
+
+
+def meanings(df: DataFrame, cache: DataFrame, id_col: str, clean_col: str, wrong_col: str, client: Callable[[], Callable[[str, str], str]]) -> DataFrame:
+    """(id, sha256, verdict, error) of the pairs that the cache (id, sha256, verdict) doesn't have: verdict is true where the wrong text says the same, null where the reply says neither.
+
+    client gives, once a partition, a callable (id, prompt) -> reply. A pair whose texts changed since it was judged is an error.
+    """
+    prompt = F.concat(F.lit(fixed.MEANING_QUESTION + "\n\nVersion A: "), F.col(clean_col), F.lit("\n\nVersion B: "), F.col(wrong_col))
+    rows = df.select(F.col(id_col).alias("id"), prompt.alias("text"))
+    missing = strict_verdicts(rows, cache, "id", "text").filter("verdict IS NULL").select("id", "text")
+    replies = asked(missing, "id", "text", client)
+    return replies.join(rows, "id").select("id", F.sha2("text", 256).alias("sha256"), meaning_verdict(F.col("reply")).alias("verdict"), "error")
+
+
 def calibrated(yes_on_clean: float, no_on_mismatched: float) -> bool:
     return yes_on_clean >= fixed.CALIBRATED[0] and no_on_mismatched >= fixed.CALIBRATED[1]

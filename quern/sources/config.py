@@ -37,6 +37,14 @@ def writers(toml: str) -> list[dict]:
     return out
 
 
+def judge(toml: str) -> dict:
+    """The judge: base_url and model are needed; max_tokens and disable_thinking have defaults. It is a table of its own, so it is never among the writers."""
+    own = tomllib.loads(toml).get("judge", {})
+    if missing := [k for k in ("base_url", "model") if not own.get(k)]:
+        raise ValueError(f"judge: no {missing[0]}")
+    return {"max_tokens": 8, "disable_thinking": True} | own
+
+
 def sources(spark: SparkSession, toml: str) -> DataFrame:
     """A row a source, by name; keys of its adapter's own go to options."""
     data = []

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import email.utils
+import hashlib
+import http.client
 import ipaddress
 import json
-import re
 import socket
+import threading
 import time
 import urllib.error
 import urllib.parse
@@ -18,7 +22,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class RequestFailed(Exception):
-    """This request is skipped."""
+    """This request is skipped. connection: no whole reply came."""
+
+    def __init__(self, why: str, connection: bool = False) -> None:
+        super().__init__(why)
+        self.connection = connection
 
 
 class Stopped(Exception):
@@ -32,86 +40,168 @@ class Reply:
     body: bytes
 
 
-def fetch(url: str, *, timeout: float = 30.0, most: int = 64 << 20, data: bytes | None = None, headers: dict[str, str] | None = None, redirects: int = 5) -> Reply:
-    """One request: size limit, a limited number of redirects, and no credentials or body to another host."""
-    host = urllib.parse.urlsplit(url).netloc
-
-    class Redirects(urllib.request.HTTPRedirectHandler):
-        max_redirections = redirects
+class _Redirects(urllib.request.HTTPRedirectHandler):
+    """At most so many redirects, over http only; no credentials and no body go to another host."""
+
+    def __init__(self, most: int) -> None:
+        self.max_redirections = most
+
+    def redirect_request(self, req, fp, code, msg, head, new):
+        old, target = urllib.parse.urlsplit(req.full_url), urllib.parse.urlsplit(new)
+        if target.scheme not in ("http", "https") or not target.hostname:
+            raise RequestFailed("a redirect to no http address")
+        moved = (old.scheme, old.netloc) != (target.scheme, target.netloc)
+        if moved and req.data is not None and code != 303:
+            raise RequestFailed("a redirect would send the body to another host")
+        kept = {k: v for k, v in req.headers.items() if not (moved and k.lower() in ("authorization", "cookie"))}
+        data = None if code == 303 else req.data
+        return urllib.request.Request(new, data=data, headers=kept, origin_req_host=req.origin_req_host, unverifiable=True)
+
+
+def _within(seconds: float, attempt: Callable[[dict], Reply]) -> Reply:
+    """What attempt returns, if that takes no longer; attempt puts its open reply into the box it is given, which is cut off at the deadline."""
+    box: dict = {}
+
+    def run() -> None:
+        try:
+            box["reply"] = attempt(box)
+        except BaseException as e:  # noqa: BLE001 - raised again by the caller
+            box["error"] = e
+
+    worker = threading.Thread(target=run, daemon=True)
+    worker.start()
+    worker.join(seconds)
+    if worker.is_alive():
+        with contextlib.suppress(Exception):
+            box["open"].fp.raw._sock.shutdown(socket.SHUT_RDWR)
+        raise RequestFailed("the attempt exceeded its deadline", connection=True)
+    if "error" in box:
+        raise box["error"]
+    return box["reply"]
+
+
+def fetch(url: str, *, timeout: float = 30.0, deadline: float = 330.0, most: int = 64 << 20, data: bytes | None = None, headers: dict[str, str] | None = None, redirects: int = 5) -> Reply:
+    """One attempt: a limit for each read, one for the whole attempt, a size limit and limited redirects."""
+
+    def attempt(box: dict) -> Reply:
+        request = urllib.request.Request(url, data=data, headers=headers or {})
+        try:
+            reply = urllib.request.build_opener(_Redirects(redirects)).open(request, timeout=timeout)
+        except urllib.error.HTTPError as e:
+            reply = e
+        with reply as r:
+            box["open"] = r
+            return Reply(r.code, {k.lower(): v for k, v in r.headers.items()}, r.read(most + 1))
 
-        def redirect_request(self, req, fp, code, msg, head, new):
-            out = super().redirect_request(req, fp, code, msg, head, new)
-            if out is not None and urllib.parse.urlsplit(new).netloc != host:
-                out.remove_header("Authorization")
-                out.data = None
-            return out
-
-    request = urllib.request.Request(url, data=data, headers=headers or {})
     try:
-        with urllib.request.build_opener(Redirects).open(request, timeout=timeout) as r:
-            status, head, body = r.status, dict(r.headers.items()), r.read(most + 1)
-    except urllib.error.HTTPError as e:
-        status, head, body = e.code, dict(e.headers.items()), e.read(most + 1)
-    except (urllib.error.URLError, TimeoutError, ConnectionError, socket.timeout) as e:
-        raise RequestFailed(type(e).__name__) from None
-    if len(body) > most:
+        got = _within(deadline, attempt)
+    except (urllib.error.URLError, http.client.HTTPException, TimeoutError, ConnectionError, OSError) as e:
+        raise RequestFailed(type(e).__name__, connection=True) from None
+    if len(got.body) > most:
         raise RequestFailed("the body is too large")
-    if (n := head.get("Content-Length")) and n.isdigit() and int(n) > len(body):
-        raise RequestFailed("the body is short")
-    return Reply(status, {k.lower(): v for k, v in head.items()}, body)
+    if (n := got.headers.get("content-length", "")).isdigit() and int(n) > len(got.body) and got.status not in (204, 304):
+        raise RequestFailed("the body is short", connection=True)
+    return got
 
 
-def retry_after(value: str | None, most: float = 300.0) -> float | None:
+def retry_after(value: str | None, now: float | None = None, most: float = 300.0) -> float | None:
+    """Seconds to wait, from seconds or an HTTP date; None where there is neither."""
+    if value is None:
+        return None
     try:
-        return None if value is None else min(most, max(0.0, float(value)))
+        seconds = float(value)
     except ValueError:
-        return None
+        try:
+            seconds = email.utils.parsedate_to_datetime(value).timestamp() - (time.time() if now is None else now)
+        except (TypeError, ValueError):
+            return None
+    return min(most, max(0.0, seconds))
 
 
 def is_daily_quota(body: bytes) -> bool:
-    return bool(re.search(rb"(?i)per[ -_]?day|daily", body[:4096]))
+    """Whether a JSON body names a quota per day; a body that is no JSON doesn't."""
+    try:
+        said = json.dumps(json.loads(body))
+    except ValueError:
+        return False
+    return "PerDay" in said or "per day" in said.lower()
 
 
 @dataclass
 class Session:
-    """Retries with growing pauses, a rate limit, and a breaker that stops a source after failures in a row."""
+    """Retries with growing pauses, a rate limit, and a breaker that stops a source after failures in a row.
+
+    Errors of the connection count for the breaker each time, other failures once a request. A source
+    whose addresses are absent ABSENT times in a row and that never gave anything is stopped too.
+    """
 
     rpm: float = 60.0
-    tries: int = 5
+    retries: int = 5
     breaker: int = 5
+    absent_most: int = 20
     send: Callable[..., Reply] = fetch
     sleep: Callable[[float], None] = time.sleep
     clock: Callable[[], float] = time.monotonic
+    now: Callable[[], float] = time.time
     failures: int = 0
+    absences: int = 0
+    succeeded: bool = False
     ready: float = field(default=0.0)
 
-    def request(self, url: str, **options) -> Reply:
-        for attempt in range(self.tries):
+    def _failed(self, why: str) -> None:
+        self.failures += 1
+        if self.failures >= self.breaker:
+            raise Stopped(f"{self.failures} failures in a row, last: {why}")
+
+    def _turn(self) -> None:
+        if self.rpm > 0:
             if (wait := self.ready - self.clock()) > 0:
                 self.sleep(wait)
             self.ready = self.clock() + 60 / self.rpm
-            pause = min(60.0, 2.0**attempt)
+
+    def _absent(self, status: int) -> None:
+        self.absences += 1
+        if self.absences >= self.absent_most and not self.succeeded:
+            raise Stopped(f"status {status} {self.absences} times in a row")
+
+    def request(self, url: str, *, absent: tuple[int, ...] = (404,), parse: Callable[[Reply], object] | None = None, **options):
+        """The reply, or what parse makes of it (its ValueErrors are tried again); an absent address's reply comes as it is."""
+        why, counted = "", False
+        for attempt in range(self.retries + 1):
+            self._turn()
+            pause = min(60.0, 2.0 ** (attempt + 1))
             try:
                 reply = self.send(url, **options)
-            except RequestFailed:
-                reply = None
-            if reply is not None:
+            except RequestFailed as e:
+                why, counted = str(e), True
+                self._failed(why)
+            else:
+                counted = False
                 if reply.status in (401, 403):
                     raise Stopped(f"status {reply.status}")
+                if reply.status in absent:
+                    self._absent(reply.status)
+                    return reply
                 if reply.status == 429 and is_daily_quota(reply.body):
                     raise Stopped("the daily quota is used up")
-                if reply.status < 400 or reply.status == 404:
-                    self.failures = 0
-                    return reply
-                if reply.status != 429 and reply.status < 500:
+                if reply.status == 429 or reply.status >= 500:
+                    why, pause = f"status {reply.status}", retry_after(reply.headers.get("retry-after"), self.now()) or pause
+                elif reply.status >= 400:
+                    self._failed(f"status {reply.status}")
                     raise RequestFailed(f"status {reply.status}")
-                pause = retry_after(reply.headers.get("retry-after")) or pause
-            if attempt + 1 < self.tries:
+                else:
+                    try:
+                        value = reply if parse is None else parse(reply)
+                    except ValueError as e:
+                        why = f"a bad body: {e}"
+                    else:
+                        self.failures, self.absences, self.succeeded = 0, 0, True
+                        return value
+            if attempt < self.retries:
                 self.sleep(pause)
-        self.failures += 1
-        if self.failures >= self.breaker:
-            raise Stopped(f"{self.failures} requests failed in a row")
-        raise RequestFailed("no reply after all tries")
+        if not counted:
+            self._failed(why)
+        raise RequestFailed(f"no reply after all tries: {why}")
 
 
 def is_local_endpoint(url: str) -> bool:
@@ -156,49 +246,87 @@ def record_at(read: Callable[[int, int], bytes], size: int, offset: int, step: i
     return data[start:] or None if start is not None else None
 
 
-@dataclass
-class _Page(InputPartition):
-    offset: int
-    total: int
+def pages(get: Callable[[int, int], dict], start: int, end: int | None, total: int | None, length: int, stop: Callable[[dict], bool] | None = None) -> Iterator[dict]:
+    """Rows from start on, page by page, as many as came at a time; get(offset, length) gives a page. stop ends after the page with the first row for which it is true."""
+    at = start
+    while end is None or at < end:
+        page = get(at, length if end is None else min(length, end - at))
+        if total is not None and page["num_rows_total"] != total:
+            raise Stopped("the number of rows has changed")
+        total = page["num_rows_total"]
+        end = total if end is None else min(end, total)
+        if not page["rows"]:
+            if at < end:
+                raise Stopped("an empty page before the end")
+            return
+        yield from page["rows"]
+        if stop is not None and any(stop(r["row"]) for r in page["rows"]):
+            return
+        at += len(page["rows"])
+
+
+def sampled_offsets(total: int, length: int, most: int, seed: str) -> list[int]:
+    """So many pages' offsets, those with the least hashes of (seed, offset), ascending."""
+    rank = lambda o: hashlib.sha256(f"{seed}|{o}".encode()).digest()
+    return sorted(sorted(range(0, max(1, total), length), key=rank)[:most])
 
-    def __init__(self, offset: int, total: int) -> None:
-        super().__init__(offset)
-        self.offset, self.total = offset, total
+
+class _Share(InputPartition):
+    def __init__(self, offsets: list[int], total: int) -> None:
+        super().__init__(offsets[0] if offsets else 0)
+        self.offsets, self.total = offsets, total
 
 
 class RowsReader(DataSourceReader):
-    """A partition a page; the revision is checked before the first page, and the total on every page."""
+    """Pages of a rows API.
+
+    Options: url; length of a page; revision, checked before the first page that comes from the network; rpm, the requests a
+    minute of all partitions together; streams, how many partitions read at once, each with its share of rpm; pages, how
+    many to sample (seed) instead of all; stop, a JSON {"field":, "equals":} or {"field":, "differs":} that ends the scan (one
+    partition then); cache, a folder that all machines share, where pages are kept under their revision.
+    """
 
     def __init__(self, options: dict) -> None:
         self.url, self.length = options["url"].rstrip("/"), int(options.get("length", 100))
-        self.revision, self.rpm = options.get("revision"), float(options.get("rpm", 600))
+        self.revision, self.rpm, self.streams = options.get("revision"), float(options.get("rpm", 600)), int(options.get("streams", 1))
         self.pages = int(options["pages"]) if "pages" in options else None
+        self.seed, self.cache = options.get("seed", "pages"), options.get("cache")
+        self.stop = json.loads(options["stop"]) if "stop" in options else None
 
-    def _json(self, session: Session, path: str) -> dict:
-        reply = session.request(f"{self.url}/{path}")
-        if reply.status != 200:
-            raise RequestFailed(f"status {reply.status}")
-        return json.loads(reply.body)
+    def _page(self, session: Session, offset: int, length: int) -> dict:
+        from quern.sources.cached import Fetcher, Store
 
-    def partitions(self) -> list[InputPartition]:
-        session = Session(rpm=self.rpm)
-        if self.revision and (found := self._json(session, "revision")["sha"]) != self.revision:
-            raise Stopped(f"revision {found} isn't the pinned one")
-        total = self._json(session, f"rows?offset=0&length={self.length}")["num_rows_total"]
-        return [_Page(o, total) for o in range(0, max(1, total), self.length)][: self.pages]
+        body = Fetcher(session, Store(self.cache) if self.cache else None).get(f"{self.url}/rows?offset={offset}&length={length}", page_key(self.revision or "any", offset) if length == self.length else f"part-{self.revision}-{offset}-{length}")
+        if body is None:
+            raise Stopped(f"the page at {offset} is absent")
+        return json.loads(body)
 
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        got, end = partition.offset, min(partition.total, partition.offset + self.length)
+    def _stops(self, row: dict) -> bool:
+        same = row.get(self.stop["field"]) == self.stop.get("equals", self.stop.get("differs"))
+        return same if "equals" in self.stop else not same
+
+    def partitions(self) -> list[InputPartition]:
         session = Session(rpm=self.rpm)
-        while got < end:
-            page = self._json(session, f"rows?offset={got}&length={end - got}")
-            if page["num_rows_total"] != partition.total:
-                raise Stopped("the number of rows has changed")
-            if not page["rows"]:
-                raise Stopped("an empty page before the end")
-            for r in page["rows"]:
+        if self.revision:
+            found = session.request(f"{self.url}/revision", parse=lambda r: json.loads(r.body)["sha"])
+            if found != self.revision:
+                raise Stopped(f"revision {found} isn't the pinned one")
+        total = self._page(session, 0, 1)["num_rows_total"]
+        every = range(0, max(1, total), self.length)
+        offsets = list(every) if self.pages is None else sampled_offsets(total, self.length, self.pages, self.seed)
+        n = 1 if self.stop else max(1, min(self.streams, len(offsets)))
+        return [_Share(offsets[k::n], total) for k in range(n)]
+
+    def read(self, partition: _Share) -> Iterator[tuple]:
+        n = 1 if self.stop else max(1, self.streams)
+        session, ended = Session(rpm=self.rpm / n), False
+        for offset in partition.offsets:
+            end = min(partition.total, offset + self.length)
+            for r in pages(lambda o, k: self._page(session, o, k), offset, end, partition.total, self.length):
                 yield (r["row_idx"], json.dumps(r["row"], ensure_ascii=False))
-            got += len(page["rows"])
+                ended = ended or self.stop is not None and self._stops(r["row"])
+            if ended:
+                return
 
 
 class RowsSource(DataSource):

@@ -97,7 +97,9 @@ def test_paged_rows(spark, server):
     read = lambda **o: spark.read.format("paged_rows").options(url=url, rpm="60000", **o).load()
     rows = read(revision="abc").collect()
     assert sorted(r["row_idx"] for r in rows) == list(range(250)) and json.loads(rows[0]["row"])["t"].startswith("é")
-    assert read(pages="1").count() == 100
+    assert read(streams="3").count() == 250
+    assert read(pages="2").count() in (150, 200) and sorted(r["row_idx"] for r in read(pages="2").collect()) == sorted(r["row_idx"] for r in read(pages="2").collect())
+    assert read(stop='{"field": "t", "equals": "é120"}').count() == 200
     with pytest.raises(Exception, match="pinned"):
         read(revision="other").collect()
 
@@ -106,7 +108,7 @@ def test_session(server):
     url, state = server
     naps = []
     s = web.Session(rpm=60000, sleep=naps.append)
-    assert s.request(f"{url}/busy").status == 200 and [n for n in naps if n >= 1] == [1.0, 2.0]
+    assert s.request(f"{url}/busy").status == 200 and [n for n in naps if n >= 1] == [2.0, 4.0]
     assert s.request(f"{url}/gone").status == 404
     with pytest.raises(web.Stopped):
         s.request(f"{url}/secret")
@@ -114,7 +116,7 @@ def test_session(server):
     def dead(u, **o):
         raise web.RequestFailed("x")
 
-    s = web.Session(rpm=1e9, tries=1, breaker=2, send=dead, sleep=lambda x: None)
+    s = web.Session(rpm=1e9, retries=0, breaker=2, send=dead, sleep=lambda x: None)
     with pytest.raises(web.RequestFailed):
         s.request("u")
     with pytest.raises(web.Stopped):
@@ -125,7 +127,8 @@ def test_session(server):
 
 def test_web_helpers():
     assert web.retry_after("7") == 7 and web.retry_after("9999") == 300 and web.retry_after("x") is None
-    assert web.is_daily_quota(b"limit per day") and not web.is_daily_quota(b"slow down")
+    assert web.is_daily_quota(b'{"error": "limit per day"}') and web.is_daily_quota(b'{"id": "RequestsPerDay"}') and not web.is_daily_quota(b"limit per day") and not web.is_daily_quota(b'{"error": "slow"}')
+    assert web.retry_after("Thu, 01 Jan 1970 00:01:40 GMT", now=40.0) == 60 and web.retry_after("Thu, 01 Jan 1970 00:00:00 GMT", now=40.0) == 0
     local = {"http://localhost:1": True, "http://10.0.0.3": True, "http://100.64.0.1": True, "http://[::1]": True, "http://[::ffff:192.168.0.1]": True, "https://8.8.8.8": False, "https://x.example": False}
     assert {u: web.is_local_endpoint(u) for u in local} == local
     assert web.allowed(None, "a", "http://x/y") and not web.allowed("User-agent: *\nDisallow: /y", "a", "http://x/y")
