@@ -187,36 +187,3 @@ def test_language_model_counts_and_base(spark, prose):
     assert context_mixing.scored(df.limit(0)).count() == 0
     crc = [context_mixing.held_out(i) for i in range(50)]
     assert crc == [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(50)]
-
-
-def test_word_probabilities_sum_to_one():
-    """Every word and the end have a share, so the chances of all first bytes sum to one."""
-    counts = np.zeros(256, int)
-    counts[[97, 98, 99, 32]] = 5, 3, 2, 4
-    coder = context_mixing.Coder(context_mixing.huffman(counts))
-    table, mixer = np.zeros((2, int(context_mixing._AT[-1])), np.uint16), context_mixing.Mixer()
-    for words in ([b"ab", b"abc", b"c"],):
-        word, bit, slots, place = coder.decisions(words)
-        for v in (0, 1):
-            for s in slots:
-                np.add.at(table[v], s[bit == v], 1)
-    total = 0.0
-    for b in range(256):
-        word, bit, slots, place = coder.decisions([bytes([b])])
-        keep = int(coder.size[b])
-        gate = context_mixing._gate(table[0][slots][-1].astype(int) + table[1][slots][-1], place)
-        p = mixer.refined(mixer.mixed(context_mixing._inputs(table[0][slots], table[1][slots]), gate), gate)[:keep]
-        total += np.where(bit[:keep] == 1, p, 1 - p).prod() if b != 32 else 0
-    end = 10 ** context_mixing.word_scores([b""], coder, table, mixer)[0]
-    assert total + end == pytest.approx(1, abs=1e-9)
-
-
-def test_decisions_by_hand():
-    """Slots of a context are equal for equal last bytes and differ otherwise; the code is a prefix code."""
-    coder = context_mixing.Coder(context_mixing.huffman(np.ones(256, int)))
-    word, bit, slots, _ = coder.decisions([b"abcx", b"zbcx", b"abc"])
-    n = int(coder.size[0])
-    at = lambda w, place: slots[:, [i for i in np.flatnonzero(word == w)][place * n : (place + 1) * n]]
-    a, b = at(0, 3), at(1, 3)
-    assert (a[0] == b[0]).all() and (a[1] == b[1]).all() and (a[2] != b[2]).any() and (a[4] != b[4]).any()
-    assert (at(0, 3)[:, 0] == at(2, 3)[:, 0]).all()  # the first decision comes before the byte is known
