@@ -3,13 +3,14 @@
 A classifier fitted on a table of labels gives every document its posterior over domains. With n
 tokens and posterior p, a document adds rate * n * p to the expected token totals; rates are the
 nonnegative least-squares fit of these totals to the targets, by projected gradient from rate START:
-residuals are whitened by the domains' second moments, gradients are taken in the metric in which a
-document weighs its tokens, and rates are projected to 0..most. A step needs only sums over all documents, so
-the driver holds one residual for each step and every task replays the steps on its rows: no row is
-moved, nothing grows with the corpus.
+gradients are taken in the metric in which a document weighs its tokens, and rates are projected to 0..most. First
+steps whiten residuals by the domains' second moments, which reaches targets within reach at once; where
+bounds keep targets out of reach, accelerated steps on the plain residuals follow until the sum of squares
+settles. A step needs only sums over all documents, so the driver holds one residual for each step and every
+task replays the steps on its rows: no row is moved, nothing grows with the corpus.
 
 A null or empty text has no tokens and the posterior of no words, and changes no total. A null
-doc_id is sampled like any other. Repeated rows each have a rate. Domains without a labelled row, and an
+doc_id is sampled like any other. Repeated rows each have a rate. A key with labels of two domains teaches nothing. Domains without a labelled row, and an
 empty table of labels, are an error; an empty table of documents gives no rows. Columns of the input
 other than the id are read only through the text.
 """
@@ -29,7 +30,7 @@ from quern.llm.textclass import WordModel, bounded_sample, fit_on_sample
 
 #: Labelled rows of each domain that the classifier is fitted on.
 SAMPLE = 1000
-START, STEPS, CLOSE = 1.0, 60, 1e-4
+START, STEPS, MORE_STEPS, CLOSE = 1.0, 60, 200, 1e-4
 SEED = "mixing"
 _LOG = logging.getLogger(__name__)
 
@@ -61,19 +62,28 @@ def memberships(docs: DataFrame, model: WordModel, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("same")).mapInArrow(run, "doc_id long, same long, n_tokens long, p array<double>")
 
 
-def _replay(p: np.ndarray, steps: list[np.ndarray], most: float) -> np.ndarray:
-    r = np.full(len(p), START)
-    for g in steps:
-        r = np.clip(r - p @ g, 0, most)
-    return r
+#: A step: the residual's image and the momentum with which it was taken.
+Step = tuple[np.ndarray, float]
+
+
+def _last_two(p: np.ndarray, steps: list[Step], most: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after all steps, and before the last one."""
+    before = r = np.full(len(p), START)
+    for g, momentum in steps:
+        before, r = r, np.clip(r + momentum * (r - before) - p @ g, 0, most)
+    return r, before
+
+
+def _replay(p: np.ndarray, steps: list[Step], most: float) -> np.ndarray:
+    return _last_two(p, steps, most)[0]
 
 
 def _posteriors(column: pa.Array, k: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), k)
 
 
-def fit_rates(rows: DataFrame, weights: dict[str, float], domains: list[str], budget: float | None = None, most: float = np.inf) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The steps that give every row its rate, the totals they reach and the targets.
+def fit_rates(rows: DataFrame, weights: dict[str, float], domains: list[str], budget: float | None = None, most: float = np.inf) -> tuple[list[Step], np.ndarray, np.ndarray]:
+    """The steps that give every row its rate, the totals they reach and the targets (for the domains in order).
 
     weights: target shares by domain, positive. budget: tokens to reach; default: for unbounded rates
     the corpus's own, else the largest that rates up to most can reach in the domain of the largest
@@ -83,40 +93,53 @@ def fit_rates(rows: DataFrame, weights: dict[str, float], domains: list[str], bu
     share = np.array([weights[d] for d in domains], float)
     share /= share.sum()
 
-    def moments(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Token totals by domain, and second moments over the rows whose rate can still move."""
+    def moments(steps: list[Step], momentum: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token totals by domain, those of the point from which a step with momentum starts, and second moments over the rows whose rate can still move."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(k + k * k)
+            total = np.zeros(2 * k + k * k)
             for b in batches:
                 p, n = _posteriors(b.column(1), k), b.column(0).to_numpy().astype(float)
-                r = _replay(p, steps, most)
+                r, before = _last_two(p, steps, most)
                 free = n * ((r > 0) & (r < most) if steps else np.ones(len(r)))
-                total += np.r_[(n * r) @ p, (p.T @ (p * free[:, None])).ravel()]
+                total += np.r_[(n * r) @ p, (n * (r + momentum * (r - before))) @ p, (p.T @ (p * free[:, None])).ravel()]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int64()), pa.array(total)], names=["at", "x"])
 
         sums = rows.select("n_tokens", "p").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
-        flat = np.zeros(k + k * k)
+        flat = np.zeros(2 * k + k * k)
         for r in sums:
             flat[r["at"]] = r["x"]
-        return flat[:k], flat[k:].reshape(k, k)
+        return flat[:k], flat[k : 2 * k], flat[2 * k :].reshape(k, k)
 
-    steps: list[np.ndarray] = []
-    totals, second = moments(steps)
-    full = second / max(1.0, totals.sum())
+    steps: list[Step] = []
+    totals, _, second = moments(steps)
+    whole, full = second, second / max(1.0, totals.sum())
     if budget is None:
         budget = totals.sum() if np.isinf(most) else float((most * totals / START / share)[share >= share.max() * (1 - 1e-9)].min())
     targets = share * budget if np.isinf(most) else np.minimum(share * budget, most * totals / START)
-    scale = max(1.0, totals.sum())
+    scale, close = max(1.0, totals.sum()), CLOSE * max(1.0, budget)
     for _ in range(STEPS):
-        if np.abs(totals - targets).max(initial=0) <= CLOSE * max(1.0, budget):
-            break
+        if np.abs(totals - targets).max(initial=0) <= close:
+            return steps, totals, targets
         white = second / scale + 0.02 * full + 1e-9 * np.eye(k)
-        steps.append(np.linalg.solve(white, (totals - targets) / scale))
+        steps.append((np.linalg.solve(white, (totals - targets) / scale), 0.0))
         before = totals
-        totals, second = moments(steps)
-        if np.abs(totals - before).max() <= CLOSE * max(1.0, budget):
-            break  # rates at their bounds keep the targets out of reach
+        totals, _, second = moments(steps)
+        if np.abs(totals - before).max() <= close:
+            break  # rates at their bounds keep the targets out of this metric's reach
+    # the plain sum of squares, with momentum that starts anew whenever the sum grows
+    size, still, t, ahead, error = 1 / max(1e-9, np.linalg.norm(whole, 2)), 0, 1.0, totals, np.square(totals - targets).sum()
+    for _ in range(MORE_STEPS):
+        if still == 3 or np.abs(totals - targets).max(initial=0) <= close:
+            break
+        steps.append((size * (ahead - targets), 0.0 if t == 1.0 else momentum))
+        now = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        momentum, t = (t - 1) / now, now
+        totals, ahead, _ = moments(steps, momentum)
+        last, error = error, np.square(totals - targets).sum()
+        if error > last:
+            t, ahead = 1.0, totals
+        still = still + 1 if abs(np.sqrt(last) - np.sqrt(error)) <= close / 10 else 0
     return steps, totals, targets
 
 

@@ -56,11 +56,12 @@ class GramModel:
 
 
 def bounded_sample(rows: DataFrame, key: str, label: Column, classes: list[str], most: int) -> list[tuple[int, str]]:
-    """At most so many (key, class) of each class, those with the least hashes of the key: the same at every partitioning."""
+    """At most so many (key, class) of each class, those with the least hashes of the key: the same at every partitioning. A key that has two labels is left out."""
     out: list[tuple[int, str]] = []
-    narrow = rows.select(F.col(key).cast("long").alias("key"), label.alias("label")).filter("key is not null")
+    narrow = rows.select(F.col(key).cast("long").alias("key"), label.alias("label")).filter("key is not null and label is not null")
+    narrow = narrow.groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other")
     for name in classes:
-        own = narrow.filter(F.col("label") == name).select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(most)
+        own = narrow.filter(F.col("label") == name).select("key").orderBy(F.xxhash64("key"), "key").limit(most)
         out += [(r["key"], name) for r in own.collect()]
     return out
 

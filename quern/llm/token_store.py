@@ -59,7 +59,7 @@ class Encoder:
     dropped. What is kept stands in arrays, so a segment takes some thirty bytes.
     """
 
-    KEPT = 600_000
+    KEPT = 500_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -125,7 +125,7 @@ class Encoder:
             place = pa.compute.index_in(coded.dictionary, self.segments).fill_null(-1).to_numpy()
             held = np.flatnonzero(place >= 0)
             lens[held], first[held] = self.lens[place[held]], (np.cumsum(self.lens) - self.lens)[place[held]]
-        tokenize, before, flat = self.tokenizer.model.tokenize, "Ġ" if part == "word" else "", []
+        tokenize, before, flat = self.tokenizer.model.tokenize, "Ġ" if part == "word" else "", array({2: "H", 4: "I"}[self.dtype.itemsize])
         new = pa.array(np.flatnonzero(place < 0))
         values = coded.dictionary.take(new)
         ascii_only = pa.compute.string_is_ascii(values)
@@ -133,12 +133,12 @@ class Encoder:
             names = values.filter(own).to_pylist()
             if not plain and names:
                 names = " ".join(names).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ")
-            found = [tokenize(before + x) if x else () for x in names]
-            k = new.filter(own).to_numpy()
-            lens[k] = np.fromiter(map(len, found), np.int32, len(found))
-            first[k] = len(self.pool) + len(flat) + np.cumsum(lens[k]) - lens[k]
-            flat += [t.id for x in found for t in x]
-        return _ragged(np.concatenate([self.pool, np.array(flat, self.dtype)]), first, lens), lens, at
+            for i, k in ((i, new.filter(own).to_numpy()[i : i + 4096]) for i in range(0, len(names), 4096)):
+                found = [tokenize(before + x) if x else () for x in names[i : i + 4096]]
+                lens[k] = np.fromiter(map(len, found), np.int32, len(found))
+                first[k] = len(self.pool) + len(flat) + np.cumsum(lens[k]) - lens[k]
+                flat.extend(t.id for x in found for t in x)
+        return _ragged(np.concatenate([self.pool, np.frombuffer(flat, self.dtype)]), first, lens), lens, at
 
     def _whole(self, segments: list[str]) -> list[bytes]:
         """The ids of " " + segment by the library's whole encoding; none where white space stands at an end."""
@@ -269,7 +269,7 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int
         size, end = own.dtype.itemsize, np.array([end_id], own.dtype).tobytes()
         for whole in batches:
             chunks: dict[bytes, bytes] = {}
-            for batch in pieces(whole, rows=16_384, size=16 << 20):
+            for batch in pieces(whole, rows=16_384, size=12 << 20):
                 n, hashes, lens = [], [], []
                 for ids, sizes in own.encode(batch.column(1), end):
                     raw, start = ids.tobytes(), 0
