@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import written
+from quern.llm.common import with_labels, written
 from quern.llm.components import components
 from quern.llm.simhash import _and_end, _unite
 
@@ -169,6 +169,9 @@ def _links(classes: DataFrame, codewords: int, least: float, slice_rows: int) ->
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = 0.95, codewords: int | None = None, slice_rows: int = SLICE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row.
 
+    A row with a null vec_id counts as a copy of equal vectors; where no equal vector has an id, it links
+    only with its copies and has no component.
+
     codewords a block; default: the power of two next to the square root of the number of rows, 256 at
     least, so that buckets keep their size as tables grow.
     """
@@ -180,8 +183,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     counts = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     parts = components(found.filter("b is not null").select("a", "b"))
     labelled = classes.join(counts, "rep", "left").join(parts, classes["rep"] == parts["node"], "left")
-    labelled = labelled.select("h", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("vec_id", "h").join(labelled, "h", "left")
+    labelled = labelled.select("h", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"), F.col("mult").alias("n_rows"))
+    out = with_labels(rows.select("vec_id", "h"), labelled, "h")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"), (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"))
 
 

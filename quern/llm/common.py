@@ -67,9 +67,9 @@ def with_labels(rows: DataFrame, labels: DataFrame, key: str, hot_rows: int | No
     labels = written(labels, "labels")
     total = labels.agg(F.sum("n_rows")).first()[0] or 0
     hot = labels.filter(F.col("n_rows") >= (hot_rows or max(HOT_ROWS, total / 1000))).withColumn("n_hot", F.lit(True))
-    near = rows.join(F.broadcast(hot), key, "left")
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return near.filter("n_hot").drop("n_hot", "n_rows").unionByName(cold.join(labels.drop("n_rows"), key, "left"))
+    near = rows.join(F.broadcast(hot), key, "left").filter(F.col("n_hot") | F.col(key).isNull()).drop("n_hot", "n_rows")
+    cold = rows.filter(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
+    return near.unionByName(cold.join(labels.drop("n_rows"), key, "left"))
 
 
 def texts_of(column: pa.Array) -> list[str]:

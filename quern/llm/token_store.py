@@ -306,7 +306,8 @@ def merkle_roots(leaves: DataFrame) -> DataFrame:
     for _ in range(4):
         node = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "leaf"))), lambda x: x["leaf"]), ""), 256)
         level = level.groupBy("pid", F.expr(f"idx div {FANOUT}").alias("idx")).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), node.alias("leaf"))
-    return level.select("pid", "n_docs", "n_tokens", F.col("leaf").alias("root"))
+    whole = F.when(F.col("idx") > 0, F.raise_error(F.lit("a partition has too many documents for the tree"))).otherwise(F.col("leaf"))
+    return level.select("pid", "n_docs", "n_tokens", whole.alias("root"))
 
 
 def _leaf() -> Column:
