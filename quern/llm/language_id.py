@@ -102,40 +102,50 @@ def identified(docs: DataFrame, model: GramModel, text_col: str = "text", declar
     rows = _with_likelihoods(own, model, f"in_{kept.index(text_col)}" if text_col in kept else "text")
     inputs = [f"in_{k}" for k in range(len(kept))]
     rows = written(rows.select(*inputs, *_OWN), "likelihoods")
-    one = F.array(*[F.when(F.col("lid_best") == x, 1.0).otherwise(0.0) for x in names])
     total = rows.agg(*[F.sum(F.when(F.col("lid_best") == x, 1).otherwise(0)).alias(f"n{k}") for k, x in enumerate(names)]).first()
     base = [(total[k] or 0) + 1.0 for k in range(len(names))]
-    share = F.array(*[F.lit(x / sum(base)) for x in base])
     joined = rows
     for key, name in (("lid_host", "lid_h"), ("lid_domain", "lid_d"), ("lid_suffix", "lid_s"), ("lid_declared", "lid_c")):
         votes = written(_votes(rows, key, names, name), "votes")
         joined = joined.join(F.broadcast(votes) if votes.count() <= SMALL else votes, key, "left")
-    zero = F.array(*[F.lit(0.0)] * len(names))
-    less = lambda c: F.transform(F.zip_with(F.coalesce(F.col(c), zero), one, lambda a, b: a - b), lambda x: F.greatest(x, F.lit(0.0)))
-
-    def smoothed(counts: Column, prior: Column, weight: float) -> Column:
-        n = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(counts, prior, lambda c, p: (c + weight * p) / (n + weight))
-
-    joined = joined.withColumn("lid_domain_prior", smoothed(less("lid_d"), share, DOMAIN_WEIGHT))
-    joined = joined.withColumn("lid_prior", smoothed(less("lid_h"), F.col("lid_domain_prior"), HOST_WEIGHT))
-    size = F.array(*[F.lit(x) for x in base])
-
-    def evidence(key: str, counts: str) -> Column:
-        """log P(key | language) up to a constant: counts over the language's rows, smoothed by the key's share of all rows."""
-        own = less(counts)
-        n = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
-        spread = (n + 1) / F.lit(sum(base))
-        logs = F.zip_with(own, size, lambda c, s: F.log((c + EVIDENCE_WEIGHT * spread) / (s + EVIDENCE_WEIGHT)))
-        return F.when(F.col(key).isNull(), zero).otherwise(logs)
-
-    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    meta = add(F.transform("lid_prior", lambda p: F.log(p)), add(evidence("lid_declared", "lid_c"), evidence("lid_suffix", "lid_s")))
-    # the uniform model has the evidence of the least likely language
-    meta = F.concat(meta, F.array(F.array_min(meta)))
-    logs = F.zip_with(F.transform("lid_ll", lambda x: x * TRUST), meta, lambda x, y: x + y)
-    joined = joined.withColumn("lid_post", logs).withColumn("lid_top", F.array_max("lid_post"))
-    joined = joined.withColumn("lid_sum", F.aggregate("lid_post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("lid_top"))))
-    lang = F.when(F.col("lid_n") == 0, "und").otherwise(F.element_at(F.array(*[F.lit(x) for x in [*names, "und"]]), F.array_position("lid_post", F.col("lid_top")).cast("int")))
-    out = joined.withColumn("lid_lang", lang).withColumn("lid_confidence", F.when(F.col("lid_n") == 0, 0.0).otherwise(1 / F.col("lid_sum")))
-    return out.select(*[F.col(x).alias(c) for x, c in zip(inputs, kept)], "lid_lang", "lid_confidence", ((F.col("lid_lang") != "und") & (F.col("lid_confidence") >= least)).alias("lid_accepted"))
+    fused = _fused(names, np.array(base))(F.col("lid_n"), "lid_ll", "lid_best", "lid_h", "lid_d", F.when(F.col("lid_declared").isNotNull(), F.col("lid_c")), F.when(F.col("lid_suffix").isNotNull(), F.col("lid_s")))
+    out = joined.select(*inputs, fused.alias("lid_found"))
+    lang, confidence = F.col("lid_found.lang"), F.col("lid_found.confidence")
+    return out.select(*[F.col(x).alias(c) for x, c in zip(inputs, kept)], lang.alias("lid_lang"), confidence.alias("lid_confidence"), ((lang != "und") & (confidence >= least)).alias("lid_accepted"))
+
+
+def _fused(names: list[str], base: np.ndarray):
+    """The best language and its posterior, from the text's likelihoods and the votes of host, domain, declared language and suffix, batch by batch. base: rows of each language, one more each."""
+    k, named = len(names), np.array([*names, "und"])
+
+    def votes(column: pa.Array, own: np.ndarray) -> np.ndarray:
+        """Counts without the row's own vote; zeros for null."""
+        out, there = np.zeros((len(column), k)), column.is_valid().to_numpy(zero_copy_only=False)
+        out[there] = column.drop_null().flatten().to_numpy().reshape(-1, k)
+        return np.maximum(out - own, 0)
+
+    def smoothed(counts: np.ndarray, prior: np.ndarray, weight: float) -> np.ndarray:
+        return (counts + weight * prior) / (counts.sum(1, keepdims=True) + weight)
+
+    def evidence(column: pa.Array, own: np.ndarray) -> np.ndarray:
+        """log P(key | language) up to a constant: counts over the language's rows, smoothed by the key's share of all rows; nothing for null."""
+        counts = votes(column, own)
+        spread = (counts.sum(1, keepdims=True) + 1) / base.sum()
+        logs = np.log((counts + EVIDENCE_WEIGHT * spread) / (base + EVIDENCE_WEIGHT))
+        logs[column.is_null().to_numpy(zero_copy_only=False)] = 0
+        return logs
+
+    @F.arrow_udf("lang string, confidence double")
+    def run(n: pa.Array, ll: pa.Array, best: pa.Array, host: pa.Array, domain: pa.Array, declared: pa.Array, suffix: pa.Array) -> pa.Array:
+        own = (np.array(best.to_pylist(), object)[:, None] == np.array(names, object)[None, :]).astype(float).reshape(-1, k)
+        prior = smoothed(votes(host, own), smoothed(votes(domain, own), base / base.sum(), DOMAIN_WEIGHT), HOST_WEIGHT)
+        meta = np.log(prior) + evidence(declared, own) + evidence(suffix, own)
+        # the uniform model has the evidence of the least likely language
+        logs = TRUST * ll.flatten().to_numpy().reshape(-1, k + 1) + np.concatenate([meta, meta.min(1, keepdims=True)], 1)
+        top = logs.max(1, keepdims=True)
+        empty = n.to_numpy() == 0
+        lang = np.where(empty, "und", named[logs.argmax(1)])
+        confidence = np.where(empty, 0.0, 1 / np.exp(logs - top).sum(1))
+        return pa.StructArray.from_arrays([pa.array(lang.tolist(), pa.string()), pa.array(confidence)], names=["lang", "confidence"])
+
+    return run
