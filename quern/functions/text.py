@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -76,9 +79,39 @@ def has_bad_characters(c: Column) -> Column:
     return c.rlike(r"[\x{0}-\x{9}\x{b}-\x{1f}\x{7f}-\x{9f}\x{fffd}]")
 
 
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """Characters of the basic plane whose compatibility form without case isn't what lower() gives: those that become one character, as two strings, and those that become letters or digits of several."""
+    one, several = {}, []
+    for cp in [*range(0x80, 0xD800), *range(0xF900, 0x10000)]:
+        c = chr(cp)
+        f = unicodedata.normalize("NFKC", c).casefold()
+        if f != c.lower() and any(map(str.isalnum, c + f)):
+            if len(f) == 1:
+                one[c] = f
+            elif f.isalnum() and cp < 0x250 or 0xFB00 <= cp <= 0xFB06:
+                several.append((c, f))
+    return "".join(one), "".join(one.values()), tuple(several)
+
+
+#: Characters that lower() alone may fold too little; texts without them take the short way.
+_UNCOMMON = r"[^\x00-\xa9\xab-\xb1\xb6-\xb8\xbb\xbf-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0180-\u01c3\u01cd-\u01ef\u01f4-\u024f\u0400-\u045f\u2000-\u206f]"
+
+
+def _folded(c: Column) -> Column:
+    """Without case and in compatibility form, for characters that stand alone: marks that combine with the letter before are left as they are."""
+    lower = lambda x: F.replace(F.lower(x), F.lit("ß"), F.lit("ss"))
+    given, wanted, several = _folds()
+    full = F.translate(c, given, wanted)
+    for x, f in several:
+        full = F.replace(full, F.lit(x), F.lit(f))
+    sigma = F.replace(lower(full), F.lit("ς"), F.lit("σ"))  # lower() writes a last sigma so
+    return F.when(c.rlike(_UNCOMMON), sigma).otherwise(lower(c))
+
+
 def token_set(c: Column) -> Column:
-    """Distinct word tokens in lower case, contractions whole, sorted."""
-    low = F.replace(F.lower(straight(c, fixed.ALL_APOSTROPHES)), F.lit("ß"), F.lit("ss"))
+    """Distinct word tokens without case, contractions whole, sorted."""
+    low = _folded(straight(c, fixed.ALL_APOSTROPHES))
     return F.array_sort(F.array_distinct(F.regexp_extract_all(low, F.lit(rf"({fixed.ALNUM}+(?:'{fixed.ALNUM}+)*)"), F.lit(1))))
 
 
@@ -113,7 +146,7 @@ def normalized_answer(c: Column) -> Column:
 def identity_ok(c: Column, product: str) -> Column:
     """Names the product and, once explicit denials are taken out, no other assistant or vendor."""
     one = rf"(?:an? |the )?(?:{fixed.OTHER_NAMES}){fixed.VERSION}"
-    denial = rf"\bnot[\s,-]+{one}(?:(?:\s*,\s*{one})*(?:\s*,\s*|\s+)(?:or|nor)\s+{one})*"
+    denial = fixed.DENIAL.replace("NAME", one)
     text = normalized_answer(c)
     return text.contains(product) & ~F.regexp_replace(text, denial, " ").rlike(rf"\b(?:{fixed.OTHER_NAMES}){fixed.VERSION}")
 

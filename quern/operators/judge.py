@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
-from quern.functions.text import cleanliness_verdict, meaning_verdict
-from quern.operators.metrics import strict_verdicts
+from quern.functions.text import cleanliness_verdict, meaning_verdict, words
+from quern.operators.metrics import continues, strict_verdicts
 
 
 def judge_messages(text: str) -> list[dict[str, str]]:
@@ -59,5 +59,15 @@ def meanings(df: DataFrame, cache: DataFrame, id_col: str, clean_col: str, wrong
     return replies.join(rows, "id").select("id", F.sha2("text", 256).alias("sha256"), meaning_verdict(F.col("reply")).alias("verdict"), "error")
 
 
+def memorised(df: DataFrame, id_col: str, text_col: str, client: Callable[[], Callable[[str, str], str]], prefix_words: int = 5, run: int = 8) -> DataFrame:
+    """(id, hit, error) of every text: whether a model that is given its first words goes on with a run of words of what follows them."""
+    prefix = F.array_join(F.slice(words(F.col(text_col)), 1, prefix_words), " ")
+    probes = df.select(F.col(id_col).alias("id"), F.concat(F.lit(fixed.PROBE), prefix).alias("text"))
+    replies = asked(probes, "id", "text", client)
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("whole"))
+    hit = F.coalesce(continues(F.col("reply"), F.col("whole"), prefix_words, run), F.lit(False))
+    return replies.join(texts, "id").select("id", F.when(F.col("error").isNull(), hit).alias("hit"), "error")
+
+
 def calibrated(yes_on_clean: float, no_on_mismatched: float) -> bool:
     return yes_on_clean >= fixed.CALIBRATED[0] and no_on_mismatched >= fixed.CALIBRATED[1]

@@ -1,13 +1,16 @@
 """Spelling at sentence starts, the pre-gate, the pair filter, running values and selections, against loops in plain Python."""
 
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import edits as E
 from quern.functions import rules
-from quern.operators import dictionary, gate, noise, select, similarity
+from quern.functions import text as T
+from quern.operators import dictionary, gate, judge, noise, select, similarity
 from quern.operators.ordered import Ordered, added
 
 WORDS = ["dear", "the", "house", "was", "it", "is", "fine", "and", "we", "walk", "you", "see", "soon", "then", "go", "home", "who", "bob", "all", "of", "us", "a", "had", "lot"]
@@ -166,3 +169,20 @@ def test_personal_data_screen_loses_nothing(spark):
     c = F.col("t")
     got = [tuple(r) for r in df.orderBy("i").select(rules.pii_reason(c), rules.pii_reason_any(c)).collect()]
     assert all(a is None or a == b for a, b in got) and got[5] == (None, None) and got[6][1] == "street" and got[7][1] == "phone"
+
+
+def test_token_sets_fold_as_python_does(spark):
+    texts = ["ＡＢＣ ｆｕｌｌ １２", "ﬁne oﬀ ĳs", "Σίσυφος ΣΊΣΥΦΟΣ", "ſtraße STRASSE ŉo", "µ ª º ²x", "Привет МИР ё", "Ǆabc ǆ", "İstanbul", "don’t ´s", "ﾊﾛｰ ㍿", "naïve Éa", "plain Words"]
+    apostrophes = str.maketrans(dict.fromkeys("’‘ʼ`´", "'"))
+    want = [sorted(set(re.findall(r"[^\W_]+(?:'[^\W_]+)*", unicodedata.normalize("NFKC", t.translate(apostrophes)).casefold()))) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    got = [r[0] for r in df.orderBy("i").select(T.token_set(F.col("t"))).collect()]
+    assert [i for i in range(len(texts)) if got[i] != want[i]] == [9]  # one sign that stands for several letters
+
+
+def test_memorised(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([("1", text), ("2", text), ("3", text)], "id string, t string")
+    client = lambda: lambda i, prompt: {"1": " ".join(f"W{k}" for k in range(7, 16)), "2": prompt}[i]
+    got = sorted(map(tuple, judge.memorised(df, "id", "t", client).collect()))
+    assert got == [("1", True, None), ("2", False, None), ("3", None, "KeyError")]
