@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import fixed
+from quern.functions.edits import diffed
 from quern.functions.text import cleanliness_verdict, meaning_verdict, words
-from quern.operators.metrics import continues, strict_verdicts
+from quern.operators.metrics import continues, redacted, scored, strict_verdicts
 
 
 def judge_messages(text: str) -> list[dict[str, str]]:
@@ -59,6 +60,15 @@ def meanings(df: DataFrame, cache: DataFrame, id_col: str, clean_col: str, wrong
     return replies.join(rows, "id").select("id", F.sha2("text", 256).alias("sha256"), meaning_verdict(F.col("reply")).alias("verdict"), "error")
 
 
+def rewrites(df: DataFrame, id_col: str, text_col: str, license_col: str, client: Callable[[], Callable[[str, str], str]], private: bool = False) -> DataFrame:
+    """(id, human, input, output, scores..., error) of every text: a model's rewrite and its scores; texts of human rows are left out, and an error leaves only its type's name."""
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("input"), F.col(license_col).alias("license"))
+    replies = asked(texts, "id", "input", client).withColumnRenamed("reply", "output")
+    rows = texts.join(replies, "id")
+    scores = scored(rows, "input", "output", diffed(F.col("input"), F.col("output"))["word_edits"])
+    return redacted(scores, "license", ["input", "output"], private).drop("license")
+
+
 def memorised(df: DataFrame, id_col: str, text_col: str, client: Callable[[], Callable[[str, str], str]], prefix_words: int = 5, run: int = 8) -> DataFrame:
     """(id, hit, error) of every text: whether a model that is given its first words goes on with a run of words of what follows them."""
     prefix = F.array_join(F.slice(words(F.col(text_col)), 1, prefix_words), " ")

@@ -186,3 +186,13 @@ def test_memorised(spark):
     client = lambda: lambda i, prompt: {"1": " ".join(f"W{k}" for k in range(7, 16)), "2": prompt}[i]
     got = sorted(map(tuple, judge.memorised(df, "id", "t", client).collect()))
     assert got == [("1", True, None), ("2", False, None), ("3", None, "KeyError")]
+
+
+def test_rewrites(spark):
+    df = spark.createDataFrame([("1", "one two", "MIT"), ("2", "one two", "leaked"), ("3", "x", None)], "id string, t string, l string")
+    client = lambda: lambda i, text: {"1": "one tow", "2": "one two"}[i]
+    got = {r["id"]: r for r in judge.rewrites(df, "id", "t", "l", client).collect()}
+    assert (got["1"]["human"], got["1"]["input"], got["1"]["output"], got["1"]["changed"], got["1"]["word_edits"]) == (False, "one two", "one tow", True, 1)
+    assert (got["2"]["human"], got["2"]["input"], got["2"]["output"], got["2"]["changed"]) == (True, None, None, False)
+    assert got["3"]["error"] == "KeyError" and got["3"]["output"] is None
+    assert all(r["input"] is None for r in judge.rewrites(df, "id", "t", "l", client, private=True).collect())
