@@ -34,11 +34,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
+#: Rows that Spark sends to a Python worker at a time while a table is written: texts are long, and a batch stands in the JVM and in the worker.
+BATCH_ROWS = 2_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
+    """The rows of df as a Parquet table in the shared folder: cuts lineage and survives lost executors. texts: Python workers read whole texts for it, so batches are kept small."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_BATCH_CONF)
+    if texts:
+        spark.conf.set(_BATCH_CONF, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -89,3 +100,4 @@ def pieces(batch: pa.RecordBatch, rows: int = 512, size: int = 8 << 20, column:
         total += n
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers live on after their task

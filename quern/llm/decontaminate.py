@@ -183,7 +183,7 @@ def contaminated_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         index = spark.sparkContext.broadcast(Index(shard))
         if following is None and not parts:
             return queried(index)
-        parts.append(written(queried(index), "shard"))  # one index at a time is held
+        parts.append(written(queried(index), "shard", texts=True))  # one index at a time is held
         index.unpersist()
         shard = following
     # every shard gives each row once; rows of one id and text match the same items

@@ -101,7 +101,7 @@ def identified(docs: DataFrame, model: GramModel, text_col: str = "text", declar
     own = docs.select(*[docs[c].alias(f"in_{k}") for k, c in enumerate(kept)], *([] if text_col in kept else [docs[text_col].alias("text")]), F.lower(declared).alias("lid_declared"), F.lower(host).alias("lid_host"), address.alias("lid_address"))
     rows = _with_likelihoods(own, model, f"in_{kept.index(text_col)}" if text_col in kept else "text")
     inputs = [f"in_{k}" for k in range(len(kept))]
-    rows = written(rows.select(*inputs, *_OWN), "likelihoods")
+    rows = written(rows.select(*inputs, *_OWN), "likelihoods", texts=True)
     total = rows.agg(*[F.sum(F.when(F.col("lid_best") == x, 1).otherwise(0)).alias(f"n{k}") for k, x in enumerate(names)]).first()
     base = [(total[k] or 0) + 1.0 for k in range(len(names))]
     joined = rows

@@ -151,7 +151,7 @@ def mixed(docs: DataFrame, labels: DataFrame, label: Column, weights: dict[str,
     """
     domains = sorted(weights)
     model = fit_domains(docs, labels, label, domains, id_col=id_col, text_col=text_col)
-    rows = written(memberships(docs, model, id_col, text_col), "memberships")
+    rows = written(memberships(docs, model, id_col, text_col), "memberships", texts=True)
     steps, totals, targets = fit_rates(rows, weights, domains, budget, most)
     said = ", ".join(f"{d} {t:.0f} of {g:.0f}" for d, t, g in zip(domains, totals, targets))
     far = np.abs(totals - targets).max(initial=0) > 0.01 * max(1.0, targets.sum())

@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A null doc_id has its row too; it stands for its fingerprint only if no other row does.
     """
-    prints = written(fingerprints(docs, id_col, text_col, words), "prints")
+    prints = written(fingerprints(docs, id_col, text_col, words), "prints", texts=True)
     reps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows")), "reps")
     found = components(links(reps.filter("rep is not null"), limit))
     labelled = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"), "n_rows")

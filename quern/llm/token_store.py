@@ -59,7 +59,7 @@ class Encoder:
     dropped. What is kept stands in arrays, so a segment takes some thirty bytes.
     """
 
-    KEPT = 500_000
+    KEPT = 400_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
