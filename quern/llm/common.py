@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute
@@ -39,20 +40,33 @@ BATCH_ROWS = 2_000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for one write, then as it was."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
     """The rows of df as a Parquet table in the shared folder: cuts lineage and survives lost executors. texts: Python workers read whole texts for it, so batches are kept small."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_BATCH_CONF)
-    if texts:
-        spark.conf.set(_BATCH_CONF, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
-    try:
+    rows = int(spark.conf.get(_BATCH_CONF))
+    with _setting(spark, _BATCH_CONF, str(min(rows, BATCH_ROWS) if texts and rows > 0 else rows)):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_kinds(df: DataFrame, path: str) -> None:
+    """Writes rows of a few kinds as a folder for each kind; every task has a file open for each, so it needs no sort by kind."""
+    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+        df.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+
+
 def same_text(text_col: str = "text") -> Column:
     """The hash of a row's text; with its id, what tells rows apart."""
     return F.xxhash64(F.col(text_col).cast("string"))

@@ -32,7 +32,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import pieces, scratch_path
+from quern.llm.common import pieces, scratch_path, write_kinds
 
 FANOUT = 256
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 1024
@@ -322,7 +322,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stage = scratch_path(spark, "encoded")
-    _encoded(docs, id_col, text_col, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id).write.option("compression", "zstd").partitionBy("kind").parquet(stage)
+    write_kinds(_encoded(docs, id_col, text_col, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id), stage)
     rows = spark.read.schema("doc_id long, n_tokens long, hashes binary, body binary, kind string").parquet(stage)
     chunks = rows.filter("kind = 'chunk'").select(F.col("hashes").alias("hash"), F.col("n_tokens").alias("n"), F.col("body").alias("payload"))
     chunks.dropDuplicates(["hash"]).write.option("compression", "zstd").parquet(f"{path}/chunks")
