@@ -51,20 +51,20 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def written(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, texts: bool = False, codec: str = "zstd") -> DataFrame:
     """The rows of df as a Parquet table in the shared folder: cuts lineage and survives lost executors. texts: Python workers read whole texts for it, so batches are kept small."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     rows = int(spark.conf.get(_BATCH_CONF))
     with _setting(spark, _BATCH_CONF, str(min(rows, BATCH_ROWS) if texts and rows > 0 else rows)):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_kinds(df: DataFrame, path: str) -> None:
+def write_kinds(df: DataFrame, path: str, codec: str = "zstd") -> None:
     """Writes rows of a few kinds as a folder for each kind; every task has a file open for each, so it needs no sort by kind."""
     with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
-        df.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+        df.write.option("compression", codec).partitionBy("kind").parquet(path)
 
 
 def same_text(text_col: str = "text") -> Column:
