@@ -1,16 +1,16 @@
-"""Near-duplicate groups by five-word shingles: MinHash bands for candidates, exact similarity for links.
+"""Near-duplicate groups by five-word shingles: SimHash in a Gray-order index for candidates, exact similarity for links.
 
-Rows with equal sets of shingles are one node, so copies cost nothing. Nodes that share a band (ROWS
-minima of hashed shingles, of BANDS) are candidates: at a Jaccard index of 0.8 a pair misses all bands
-with probability under 3e-5. A task links rows that share a band with each other and passes one row for each of its
-bands on, so a common band costs a row a task. Components of these links are clusters; in a cluster
+Rows with equal sets of shingles are one node, so copies cost nothing. A node's fingerprint has eight words
+of bits. Two sets with a Jaccard index of 0.8 have a cosine of 8/9 at least, so their bits differ at a rate of 0.151 at most: the
+index finds nodes within that radius (simhash.wide_links), and misses a pair at 0.8 with probability of about 3e-4, less above it.
+Sets of fewer than four shingles have no others at 0.8 and take no part. Components of these links are clusters; in a cluster
 every pair is open to an exact check, and links of at least SIMILARITY are kept as a spanning forest.
 Clusters whose texts go beyond SLICE bytes or SLICE_ROWS nodes are cut into slices by hash and every
 pair of slices is a unit of its own. Groups are the components of the checked links.
 
 Words are split at white space, ASCII letters in lower case; a text of fewer than five words is one
-shingle; texts without words are equal. A SimHash can't give such candidates: at 0.8 its fingerprints
-differ in about ten of 64 bits, which no split into blocks finds.
+shingle; texts without words are equal. A fingerprint of 64 bits can't give such candidates: at 0.8 it
+differs in about ten bits, which no split into blocks finds.
 """
 
 from __future__ import annotations
@@ -25,13 +25,11 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import pieces, same_text, written
 from quern.llm.components import components
-from quern.llm.simhash import shingle_hashes
+from quern.llm.simhash import shingle_hashes, wide_fingerprint, wide_links
 
 WORDS, UP, DOWN = 5, 4, 5  # similarity of at least UP / DOWN
-BANDS, ROWS = 20, 4
+COSINE = 2 * UP / (UP + DOWN)  # of two sets at that similarity, at least
 SLICE, SLICE_ROWS = 2 << 20, 512
-HELD = 1 << 18  # bands that a task holds at a time
-_KEYS = np.random.default_rng(7).integers(1, 1 << 63, (2, BANDS * ROWS), np.uint64) | np.uint64(1)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -44,58 +42,21 @@ def node_of(own: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64))
 
 
-def bands(own: np.ndarray, step: int = 2048) -> list[int]:
-    """For each band a signed long; none for an empty set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for i in range(0, len(own), step):
-        x = (own[None, i : i + step] ^ _KEYS[0][:, None]) * _KEYS[1][:, None]
-        least = np.minimum(least, x.min(1))
-    parts = least.reshape(BANDS, ROWS)
-    return [xxhash.xxh64_intdigest(p.tobytes(), k) - (1 << 63) for k, p in enumerate(parts)] if len(own) else []
-
-
 def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, same, node, keys, near) for every row: bands that its task hasn't met, and nodes of the task that share a band."""
+    """(doc_id, same, node, print) for every row; no fingerprint for sets that only equal ones are near to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[int, int] = {}  # the first node of each band
         for whole in batches:
             for batch in pieces(whole):
-                nodes, keys, near = [], [], []
+                nodes, found = [], []
                 for text in batch.column(2).to_pylist():
                     own = shingles(text)
-                    node = node_of(own)
-                    new, linked = [], set()
-                    for k in bands(own):
-                        if k not in met:
-                            met[k] = node
-                            new.append(k)
-                        elif met[k] != node:
-                            linked.add(met[k])
-                    nodes.append(node)
-                    keys.append(new)
-                    near.append(sorted(linked))
-                    if len(met) > HELD:
-                        met.clear()
-                arrays = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "same", "node", "keys", "near"])
+                    nodes.append(node_of(own))
+                    found.append(wide_fingerprint(own).tobytes() if len(own) >= UP else None)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "same", "node", "print"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), same_text(text_col).alias("same"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, same long, node long, keys array<long>, near array<long>")
-
-
-def _chained(rows: DataFrame) -> DataFrame:
-    """(a, b): neighbours among the nodes of a band."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = (np.empty(0, np.int64), np.empty(0, np.int64))
-        for b in batches:
-            key, node = (np.concatenate([x, b.column(k).to_numpy()]) for k, x in enumerate(last))
-            at = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != node[:-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[at + 1])], names=["a", "b"])
-            last = (key[-1:], node[-1:])
-
-    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "doc_id long, same long, node long, print binary")
 
 
 def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -157,10 +118,9 @@ def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, same) of the first row of each group, by doc_id, null after all others, and then by the hash of the text."""
     prints = written(_prints(docs, id_col, text_col), "prints", texts=True)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
-    nodes = written(prints.groupBy("node").agg(F.min(order).alias("first")), "nodes")
-    met = prints.select(F.col("node").alias("a"), F.explode("near").alias("b"))
-    near = met.unionAll(_chained(prints.select(F.explode("keys").alias("key"), "node")))
-    found = components(near)
+    nodes = written(prints.groupBy("node").agg(F.min(order).alias("first"), F.min("print").alias("print")), "nodes")
+    found = components(wide_links(nodes.filter("print is not null").select(F.col("node").alias("rep"), "print"), COSINE))
+    nodes = nodes.drop("print")
     clusters = written(found.select("node", F.col("component").alias("cluster")).unionAll(found.select(F.col("component").alias("node"), F.col("component").alias("cluster")).distinct()), "clusters")
     members = nodes.join(clusters, "node").select("node", "cluster", "first.doc_id", "first.same")
     groups = components(_checked(_units(docs, members, id_col, text_col, most))).withColumnRenamed("node", "member")

@@ -10,6 +10,10 @@ leaves that are left are compared. Units beyond SLICE fingerprints are cut into
 every pair of slices is a unit of its own, so no task holds an unbounded unit. Units return a spanning
 forest of their links, never all pairs.
 
+At a wide radius no block of bits agrees for certain. There (wide_links) a fingerprint has several words,
+units are named by random bits of all of them, and as many tables of such units are made as a pair at the
+radius needs to share one but with probability MISS; the trees compare first words, then all that go along.
+
 Nulls and texts without words have fingerprint zero, which links like any other; a text of one or two
 words is one shingle; rows with the same text share a fingerprint; an empty table gives no rows.
 Other columns of the input are not read.
@@ -32,6 +36,10 @@ from quern.llm.components import components
 SEED = 42
 BLOCKS = 4
 SLICE, UNIT, LEAF = 1024, 256, 4
+#: Wide fingerprints: their words, those that go along with a row, fingerprints to aim for in a unit, and fingerprints in a leaf.
+WIDE, ALONG, WIDE_UNIT, WIDE_LEAF = 8, 3, 1024, 16
+MISS = 1e-4  # of pairs at the radius: no table in common; and each of both limits of bits
+_ODD = np.random.default_rng(11).integers(0, 1 << 63, (3, WIDE, 1), np.uint64) | np.uint64(1)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -54,6 +62,19 @@ def fingerprint(hashes: np.ndarray, step: int = 1 << 16) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def wide_fingerprint(hashes: np.ndarray, step: int = 255) -> np.ndarray:
+    """WIDE words, each from its own mix of the hashes; as in fingerprint, the bits set in over half of them."""
+    ones, planes = np.zeros((8, WIDE, 8), np.int64), np.arange(8, dtype=np.uint64)[:, None, None]
+    for i in range(0, len(hashes), step):
+        x = (hashes[None, i : i + step] ^ _ODD[0]) * _ODD[1]
+        x ^= x >> np.uint64(29)
+        x *= _ODD[2]
+        x ^= x >> np.uint64(32)
+        counts = ((x >> planes) & np.uint64(0x0101010101010101)).sum(2, dtype=np.uint64)  # a byte counts to 255
+        ones += counts.astype("<u8").view(np.uint8).reshape(8, WIDE, 8)
+    return np.packbits(2 * ones.transpose(1, 2, 0).reshape(WIDE, 64) > len(hashes), axis=1, bitorder="little").view("<u8").ravel()
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(doc_id, fp): a signed long for each row."""
 
@@ -89,8 +110,9 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class GrayTree:
     """A binary tree over fingerprints in Gray order; node i has children 2i+1 and 2i+2, leaves are runs of LEAF."""
 
-    def __init__(self, values: np.ndarray, leaf: int = LEAF) -> None:
+    def __init__(self, values: np.ndarray, leaf: int = LEAF, more: np.ndarray | None = None, whole: int = 0) -> None:
         self.values, self.leaf = values, leaf
+        self.more, self.whole = more, whole  # further words, and in how many places all words may differ
         runs = -(-len(values) // leaf)
         self.depth = max(0, (runs - 1).bit_length())
         starts = np.arange(runs) * leaf
@@ -125,7 +147,13 @@ class GrayTree:
             near = np.bitwise_count(v[x][:, :, None] ^ v[y][:, None, :]) <= limit
             near &= (x[:, :, None] < y[:, None, :]) & (y[:, None, :] < n)
             pair, p, q = np.nonzero(near)
-            parent = _joined(parent, x[pair, p], y[pair, q])
+            a, b = x[pair, p], y[pair, q]
+            if self.more is not None:
+                bits = np.bitwise_count(v[a] ^ v[b]).astype(np.int64)
+                for word in self.more:
+                    bits += np.bitwise_count(word[a] ^ word[b])
+                a, b = a[bits <= self.whole], b[bits <= self.whole]
+            parent = _joined(parent, a, b)
         return parent
 
 
@@ -140,13 +168,13 @@ def _joined(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         parent = _unite(parent, parent[a[one]], parent[b[one]])
 
 
-def _forest_edges(v: np.ndarray, unit: np.ndarray, rep: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links in whole units; v in Gray order within a unit."""
+def _forest_edges(v: np.ndarray, unit: np.ndarray, rep: np.ndarray, limit: int, leaf: int = LEAF, more: list[np.ndarray] | None = None, whole: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links in whole units; v in Gray order within a unit; more and whole as in GrayTree."""
     starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
     sizes = np.diff(np.r_[starts, len(unit)])
     parent = np.arange(len(v))
     for s, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-        parent[s : s + n] = s + GrayTree(v[s : s + n]).forest(limit)
+        parent[s : s + n] = s + GrayTree(v[s : s + n], leaf, more and [w[s : s + n] for w in more], whole).forest(limit)
     moved = np.flatnonzero(parent != np.arange(len(v)))
     return rep[moved], rep[parent[moved]]
 
@@ -173,20 +201,25 @@ def links(reps: DataFrame, limit: int = 3, slice_rows: int = SLICE, unit_rows: i
     cut = cut.withColumn("gray", gray).repartition("unit").sortWithinPartitions("unit", "gray").drop("gray")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, "<i8")] * 3
-        for batch in _and_end(batches):
-            if batch is not None:
-                held = [np.concatenate([x, batch.column(k).to_numpy(zero_copy_only=False)]) for k, x in enumerate(held)]
-                whole = np.searchsorted(held[2], held[2][-1]) if batch.num_rows else 0  # the last unit may go on
-            else:
-                whole = len(held[2])
-            if whole:
-                rep, v, unit = (x[:whole] for x in held)
-                a, b = _forest_edges(v.view("<u8"), unit, rep, limit)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-                held = [x[whole:] for x in held]
+        for unit, rep, v in _whole_units(batches, 3):
+            a, b = _forest_edges(v.view("<u8"), unit, rep, limit)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return cut.select("rep", "v", "unit").mapInArrow(run, "a long, b long")
+    return cut.select("unit", "rep", "v").mapInArrow(run, "a long, b long")
+
+
+def _whole_units(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
+    """The columns of whole units, the first column, as many as a batch completes."""
+    held = [np.empty(0, "<i8")] * columns
+    for batch in _and_end(batches):
+        if batch is not None:
+            held = [np.concatenate([x, batch.column(k).to_numpy(zero_copy_only=False)]) for k, x in enumerate(held)]
+            whole = np.searchsorted(held[0], held[0][-1])  # the last unit may go on
+        else:
+            whole = len(held[0])
+        if whole:
+            yield [x[:whole] for x in held]
+            held = [x[whole:] for x in held]
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -194,6 +227,71 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
+def _least_limit(bits: int, rate: float) -> int:
+    """The least number of differing bits that is exceeded with probability under MISS, if each differs at this rate."""
+    left = 1.0
+    for k in range(bits + 1):
+        left -= math.comb(bits, k) * rate**k * (1 - rate) ** (bits - k)
+        if left < MISS:
+            return k
+    return bits
+
+
+def wide_links(reps: DataFrame, cosine: float, unit_rows: int = WIDE_UNIT, slice_rows: int = 2 * WIDE_UNIT) -> DataFrame:
+    """(a, b): edges between representatives that together connect pairs of wide fingerprints whose hashes have at least this cosine.
+
+    reps: rep (a long) and print (the bytes of a wide fingerprint). A bit of such a pair differs with
+    probability arccos(cosine) / pi at most. Links are candidates: a pair is missed with probability of
+    about three times MISS at the radius and less above it, and pairs somewhat beyond it are linked too.
+    """
+    rate = math.acos(cosine) / math.pi
+    first, all_along = _least_limit(64, rate), _least_limit(64 * ALONG, rate)
+    bits = max(1, math.ceil(math.log2(max(1, reps.count()) / unit_rows)))
+    tables = math.ceil(math.log(MISS) / math.log1p(-((1 - rate) ** bits)))
+    r = np.random.default_rng(13)
+    places = np.concatenate([r.permutation(64 * WIDE) for _ in range(-(-tables * bits // (64 * WIDE)))])[: tables * bits].reshape(tables, bits)
+    weights = np.int64(1) << np.arange(bits)
+
+    def named(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The words of a batch's fingerprints with their units, table by table."""
+        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+        own = np.unpackbits(raw, axis=1, bitorder="little")
+        for t, at in enumerate(places):
+            yield raw.view("<u8"), (t << 32) + own[:, at] @ weights
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _and_end(batches):
+            if batch is not None:
+                unit, n = np.unique(np.concatenate([u for _, u in named(batch)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(unit), pa.array(n)], names=["unit", "n"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _and_end(batches):
+            if batch is not None:
+                for words, unit in named(batch):
+                    gray = words[:, 0].copy()
+                    for k in (1, 2, 4, 8, 16, 32):
+                        gray ^= gray >> np.uint64(k)
+                    along = [pa.array(x.copy().view("<i8")) for x in (gray, *words.T[1:ALONG])]
+                    yield pa.RecordBatch.from_arrays([pa.array(unit), batch.column(0), *along], names=["unit", "rep", "gray", *others])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit, rep, gray, *more in _whole_units(batches, 2 + ALONG):
+            v = gray.view("<u8") ^ (gray.view("<u8") >> np.uint64(1))
+            a, b = _forest_edges(v, unit, rep, first, WIDE_LEAF, [x.view("<u8") for x in more], all_along)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    others = [f"w{k}" for k in range(1, ALONG)]
+    rows = reps.select("rep", "print")
+    hot = rows.mapInArrow(sizes, "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n")).filter(F.col("n") > 2 * slice_rows)
+    hot = written(hot.select("unit", F.ceil(F.col("n") / slice_rows).cast("long").alias("slices")), "hot")
+    cut = rows.mapInArrow(spread, "unit long, rep long, gray long, " + ", ".join(f"{w} long" for w in others)).join(hot, "unit", "left")
+    cut = cut.withColumn("slices", F.coalesce("slices", F.lit(1).cast("long"))).withColumn("own", F.expr("pmod(xxhash64(rep), slices)"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    cut = cut.select(F.xxhash64("unit", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep", "gray", *others)
+    return cut.repartition("unit").sortWithinPartitions("unit", "gray").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, limit: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row: 16 hex digits and the smallest doc_id reachable over links of at most limit bits.
 
