@@ -23,7 +23,8 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import sub
+from itertools import chain
+from operator import attrgetter, sub
 
 import numpy as np
 import public_tokenizers
@@ -37,10 +38,15 @@ from quern.llm.common import pieces, scratch_path, write_kinds
 FANOUT = 256
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 1024
 _LETTERS, _MARKS = "[A-Za-zªµºÀ-ÖØ-öø-ɏ]+", r"[!-&(-/:-@\[-`{-~]*"
+TOGETHER = 256  # words whose tokens the library's model gives at a time: few, so that they stay in the processor's cache
+_id = attrgetter("id")
 #: Latin letters, then ASCII marks but the apostrophe; perhaps a line break and the same again. The pre-tokenizer cuts between these parts.
 _SIMPLE = rf"\A(?P<word>{_LETTERS})(?P<tail>{_MARKS})(?P<line>\n?)(?P<after>(?:{_LETTERS})?)(?P<last>{_MARKS})\z"
+_WORD = rf"\A{_LETTERS}\z"
 #: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
-_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))} | {32: 32}
+_BYTES = np.arange(256, dtype="<u4")
+_BYTES[[b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]] = 256 + np.arange(68)
+_BYTES[32] = 32
 
 
 def _ragged(pool: np.ndarray, first: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -84,8 +90,38 @@ class Encoder:
 
         A run of Latin letters is one pre-token with the space before it, marks after it are another, and
         so are a line break and what follows it, so words go to the library's model directly and are
-        shared by the segments that hold them.
+        shared by the segments that hold them. Segments of letters alone, most of all, come first: they are
+        distinct and not kept, so they need no look-up, and are found for the others.
         """
+        alone = pa.compute.match_substring_regex(segments, _WORD)
+        words = np.flatnonzero(alone.to_numpy(zero_copy_only=False))
+        if len(words):
+            part = segments.take(pa.array(words))
+            pool, lens = self._encoded_words(part, "Ġ")
+            self._keep(part, pool, lens)
+        others = np.flatnonzero(~alone.to_numpy(zero_copy_only=False))
+        return np.concatenate([words, others[self._learn_others(segments.take(pa.array(others)))]])
+
+    def _keep(self, segments: pa.StringArray, pool: np.ndarray, lens: np.ndarray) -> None:
+        self.pool, self.lens = np.concatenate([self.pool, pool]), np.concatenate([self.lens, lens.astype(np.int32)])
+        self.segments = pa.concat_arrays([self.segments, segments])
+        self.used = np.concatenate([self.used, np.full(len(lens), self.batch, np.int32)])
+
+    def _encoded_words(self, words: pa.StringArray, before: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after the other, as the library's model gives them, and how many are each word's."""
+        tokenize, flat, lens = self.tokenizer.model.tokenize, [np.empty(0, self.dtype)], [np.empty(0, np.int32)]
+        for a in range(0, len(words), TOGETHER):
+            part = words.slice(a, TOGETHER)
+            names = part.to_pylist()
+            if not pa.compute.all(pa.compute.string_is_ascii(part)).as_py():
+                raw = np.frombuffer(" ".join(names).encode("utf-8"), np.uint8)
+                names = _BYTES[raw].tobytes().decode("utf-32-le").split(" ")
+            found = list(map(tokenize, [before + x if x else "" for x in names]))
+            lens.append(np.fromiter(map(len, found), np.int32, len(found)))
+            flat.append(np.fromiter(map(_id, chain.from_iterable(found)), self.dtype, int(lens[-1].sum())))
+        return np.concatenate(flat), np.concatenate(lens)
+
+    def _learn_others(self, segments: pa.StringArray) -> np.ndarray:
         parts = pa.compute.extract_regex(segments, _SIMPLE)
         fits = parts.is_valid()
         if len(segments):  # a second word stands after a line break and nowhere else
@@ -99,12 +135,9 @@ class Encoder:
         lens = np.stack([lens[at] for _, lens, at in runs], 1)
         first = np.stack([(np.cumsum(lens) - lens)[at] + start for (_, lens, at), start in zip(runs, starts)], 1)
         rest = self._whole(segments.take(pa.array(other)).to_pylist())
-        self.pool = np.concatenate([self.pool, _ragged(pool, first.ravel(), lens.ravel()), np.frombuffer(b"".join(rest), self.dtype)])
         more = np.fromiter(map(len, rest), np.int32, len(rest)) // self.dtype.itemsize
-        self.lens = np.concatenate([self.lens, lens.sum(1, dtype=np.int32), more])
         order = np.concatenate([simple, other])
-        self.segments = pa.concat_arrays([self.segments, segments.take(pa.array(order))])
-        self.used = np.concatenate([self.used, np.full(len(order), self.batch, np.int32)])
+        self._keep(segments.take(pa.array(order)), np.concatenate([_ragged(pool, first.ravel(), lens.ravel()), np.frombuffer(b"".join(rest), self.dtype)]), np.concatenate([lens.sum(1), more]))
         return order
 
     def _cut(self, column: pa.StringArray, part: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,20 +158,10 @@ class Encoder:
             place = pa.compute.index_in(coded.dictionary, self.segments).fill_null(-1).to_numpy()
             held = np.flatnonzero(place >= 0)
             lens[held], first[held] = self.lens[place[held]], (np.cumsum(self.lens) - self.lens)[place[held]]
-        tokenize, before, flat = self.tokenizer.model.tokenize, "Ġ" if part == "word" else "", array({2: "H", 4: "I"}[self.dtype.itemsize])
-        new = pa.array(np.flatnonzero(place < 0))
-        values = coded.dictionary.take(new)
-        ascii_only = pa.compute.string_is_ascii(values)
-        for own, plain in ((ascii_only, True), (pa.compute.invert(ascii_only), False)):
-            names = values.filter(own).to_pylist()
-            if not plain and names:
-                names = " ".join(names).encode("utf-8").decode("latin-1").translate(_BYTES).split(" ")
-            for i, k in ((i, new.filter(own).to_numpy()[i : i + 4096]) for i in range(0, len(names), 4096)):
-                found = [tokenize(before + x) if x else () for x in names[i : i + 4096]]
-                lens[k] = np.fromiter(map(len, found), np.int32, len(found))
-                first[k] = len(self.pool) + len(flat) + np.cumsum(lens[k]) - lens[k]
-                flat.extend(t.id for x in found for t in x)
-        return _ragged(np.concatenate([self.pool, np.frombuffer(flat, self.dtype)]), first, lens), lens, at
+        new = np.flatnonzero(place < 0)
+        pool, lens[new] = self._encoded_words(coded.dictionary.take(pa.array(new)), "Ġ" if part == "word" else "")
+        first[new] = len(self.pool) + np.cumsum(lens[new]) - lens[new]
+        return _ragged(np.concatenate([self.pool, pool]), first, lens), lens, at
 
     def _whole(self, segments: list[str]) -> list[bytes]:
         """The ids of " " + segment by the library's whole encoding; none where white space stands at an end."""
@@ -197,7 +220,7 @@ class Encoder:
         bad = lens == 0
         bad[-1] = False
         bad[kept:-1] = [not h or h[-1].isspace() for h in heads]
-        any_bad = bad[at].any()
+        any_bad = bad[place].any() or bad[kept:].any()
         for a in range(0, len(heads), rows):
             own = starts[a : a + rows + 1]
             here, inner = np.insert(at[own[0] : own[-1]], own[1:] - own[0], len(lens) - 1), own - own[0] + np.arange(len(own))
@@ -296,6 +319,11 @@ def _chunk_rows(chunks: dict[bytes, bytes], size: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(["chunk"] * k), pa.nulls(k, pa.int64()), pa.array([len(x) // size for x in chunks.values()], pa.int64()), pa.array(list(chunks), pa.binary()), pa.array(list(chunks.values()), pa.binary())], names=["kind", "doc_id", "n_tokens", "hashes", "body"])
 
 
+def _once(chunks: DataFrame) -> DataFrame:
+    """Each chunk once. A chunk's address gives all its columns, so whole rows are compared: that needs no sort, as a first payload by address would."""
+    return chunks.distinct()
+
+
 def merkle_roots(leaves: DataFrame) -> DataFrame:
     """(pid, n_docs, n_tokens, root) from (pid, idx, n_tokens, leaf): SHA-256 over the leaves in order, FANOUT children a node, level by level.
 
@@ -325,7 +353,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     write_kinds(_encoded(docs, id_col, text_col, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id), stage)
     rows = spark.read.schema("doc_id long, n_tokens long, hashes binary, body binary, kind string").parquet(stage)
     chunks = rows.filter("kind = 'chunk'").select(F.col("hashes").alias("hash"), F.col("n_tokens").alias("n"), F.col("body").alias("payload"))
-    chunks.dropDuplicates(["hash"]).write.option("compression", "zstd").parquet(f"{path}/chunks")
+    _once(chunks).write.option("compression", "zstd").parquet(f"{path}/chunks")
     recipes = rows.filter("kind = 'doc'").select("doc_id", "n_tokens", "hashes", F.col("body").alias("lens"))
     ordered = recipes.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "hashes").withColumn("pid", F.spark_partition_id())
 
@@ -424,12 +452,12 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            crc = []
-            for h, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            crc, payloads = [], b.column(1).to_pylist()
+            for h, payload in zip(b.column(0).to_pylist(), payloads):
                 if address(payload) != h:
                     raise ValueError(f"chunk {h.hex()} doesn't have its address")
                 crc.append(zlib.crc32(np.frombuffer(payload, dtype).astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(crc, pa.int64()), pa.array([len(x) // dtype.itemsize for x in b.column(1).to_pylist()], pa.int64())], names=["hash", "crc", "stored"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(crc, pa.int64()), pa.array([len(x) // dtype.itemsize for x in payloads], pa.int64())], names=["hash", "crc", "stored"])
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
