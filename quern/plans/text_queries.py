@@ -292,7 +292,7 @@ def apostrophe_fit(spark, d):
 @query("case_fit", f"SELECT doc_id, w, CASE WHEN length(regexp_replace(w, '[^\\p{{L}}]', '', 'g')) > 1 AND regexp_replace(w, '[^\\p{{L}}]', '', 'g') = upper(regexp_replace(w, '[^\\p{{L}}]', '', 'g')) THEN 'WORD' WHEN regexp_matches(w, '^\\p{{Lu}}') THEN 'Word' ELSE 'word' END AS fitted FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN upper(({sql_words('text')})[1]) ELSE ({sql_words('text')})[1 + doc_id % 3] END AS w FROM documents) WHERE w IS NOT NULL AND NOT contains(w, 'ß')")
 def case_fit(spark, d):
     w = T.words(F.col("text"))
-    own = F.when(F.col("doc_id") % 5 == 0, F.upper(F.try_element_at(w, F.lit(1)))).otherwise(F.try_element_at(w, (F.col("doc_id") % 3 + 1).cast("int")))
+    own = F.when(F.col("doc_id") % 5 == 0, T.upper(F.try_element_at(w, F.lit(1)))).otherwise(F.try_element_at(w, (F.col("doc_id") % 3 + 1).cast("int")))
     return documents(spark, d).select("doc_id", own.alias("w")).filter("w IS NOT NULL AND NOT contains(w, 'ß')").select("doc_id", "w", T.one_word_case(F.col("w"), F.lit("word")).alias("fitted"))
 
 
