@@ -86,9 +86,12 @@ def sql_pii(c: str) -> str:
 
 
 def _pii(c):
-    kinds = rules.pii_kinds(c)
-    phone = c.rlike(f"(?i){fixed.NANP}") | c.rlike(fixed.E164)
-    return F.coalesce(*[F.when(phone if k == "phone" else hit, k) for k, hit in kinds.items() if k not in ("ipv6", "street")])
+    def first(n):
+        kinds = rules.pii_kinds(c, n)
+        phone = n.rlike(fixed.NANP) | n.rlike(fixed.E164)
+        return F.coalesce(*[F.when(phone if k == "phone" else hit, k) for k, hit in kinds.items() if k not in ("ipv6", "street")])
+
+    return F.when(rules.pii_screen(c), rules.bound(rules.numbers(c), first))
 
 
 @query("pii_reasons", f"SELECT doc_id, {sql_pii('text')} AS reason FROM {sql_with(PII)}")
@@ -99,9 +102,7 @@ def pii_reasons(spark, d):
 
 @query("pii_three_views", f"WITH t AS (SELECT doc_id, text, array_to_string({sql_words('text')}, ' ') AS line FROM {sql_with(PII)}) SELECT doc_id, coalesce({sql_pii('text')}, {sql_pii('line')}, {sql_pii(chr(40) + 'regexp_replace(line, ' + q(r'([-.])\s+') + ', ' + q(chr(92) + '1') + ', ' + q('g') + '))')}) AS reason FROM t")
 def pii_three_views(spark, d):
-    c = F.col("text")
-    line = T.collapsed(c)
-    return with_snippet(documents(spark, d), PII).select("doc_id", F.coalesce(_pii(c), _pii(line), _pii(F.regexp_replace(line, r"(?<=[-.])\s+", ""))).alias("reason"))
+    return with_snippet(documents(spark, d), PII).select("doc_id", rules.first_of_views(F.col("text"), _pii).alias("reason"))
 
 
 @query("pii_full")
