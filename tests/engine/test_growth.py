@@ -44,3 +44,38 @@ def test_folding_of_common_and_uncommon_letters(spark):
     rows = [("Straße ÉTÉ “x”",), ("ﬁne Ⅳ",), ("ΟΔΟΣ",), ("don`t",)]
     got = [x[0] for x in spark.createDataFrame(rows, "t string").select(T.token_set(F.col("t"))).collect()]
     assert got == [["strasse", "x", "été"], ["fine", "ⅳ"], ["οδοσ"], ["don't"]]
+
+
+def test_long_diffs_take_no_square_of_their_words():
+    import time
+
+    from quern.functions import edits as E
+
+    r = random.Random(1)
+    words = [r.choice("the of and to in that is it for was".split()) for _ in range(30_000)]
+    wrong = [*words]
+    wrong[50], wrong[15_000], wrong[29_990] = "teh", "off", "fr"
+    del wrong[20_000]
+    began = time.process_time()
+    found = list(E._opcodes(words, wrong))
+    assert time.process_time() - began < 5
+    assert [x[:2] for x in found if x[1] - x[0] == 1 == x[3] - x[2]] == [(50, 51), (15_000, 15_001), (29_990, 29_991)] and len(found) == 4
+
+
+def test_numbers_are_found_in_what_is_left_of_a_text(spark):
+    r = random.Random(2)
+    parts = ["fe80::1:2", " 12 Main Street", "+44 (0)20 7946 0958", "Order: 2125550187", "2125550187", "10.20.30.255", "123-45-6789", "(212) 555-0187", "4111 1111 1111 1111", "x" * 90, " word" * 40, "\n", "a.b@c.de", "www.x.y", " 7 ", "."]
+    rows = [("".join(r.choice(parts) for _ in range(r.randint(1, 5))),) for _ in range(300)]
+    from quern.functions import rules
+
+    c, df = F.col("t"), spark.createDataFrame(rows, "t string")
+    whole = F.coalesce(*[F.when(hit, name) for name, hit in rules.pii_kinds(c).items()])
+    assert df.filter(~rules.pii_reason(c).eqNullSafe(whole)).count() == 0
+    assert df.select(F.max(F.length(rules.numbers(c)) < F.length(c))).first()[0]
+
+
+def test_variants_reach_python_in_small_batches(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(noise, "materialised", lambda df, rows=None: seen.append(rows) or df)
+    noise.variants(spark.createDataFrame([(1, "Some text here.")], "id long, text string"), "id", "text", 1, "s")
+    assert seen == [500]
