@@ -58,10 +58,29 @@ def _is_lower(c: Column) -> Column:
 SMALL = 500_000
 
 
-def _without_known(own: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """The distinct tokens of own that the dictionary doesn't know: a table of the vocabulary's size, not of the texts'."""
-    vocabulary = own.select("token").distinct()
-    return materialised(vocabulary.join(known_words(vocabulary, dictionary), "token", "left_anti"))
+def _without_known(vocabulary: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The tokens of vocabulary that the dictionary doesn't know: a table of the vocabulary's size, not of the texts'."""
+    own = vocabulary.select("token")
+    return materialised(own.join(known_words(own, dictionary), "token", "left_anti"))
+
+
+def _counted(rows: DataFrame, word: str) -> DataFrame:
+    """(word, n) of every word of the rows; what follows reads it, not the texts."""
+    return materialised(rows.filter(F.col(word).isNotNull()).groupBy(word).agg(F.count("*").alias("n")))
+
+
+def _sifted(rows: DataFrame, word: str, counted: DataFrame, missing: DataFrame) -> DataFrame:
+    """Where too many words are missing to be broadcast: rows without those of the most frequent words that are not, SMALL at most, which are most rows of texts and so need no shuffle."""
+    if missing.count() <= SMALL:
+        return rows
+    log = F.floor(F.log2("n") * 8).cast("int")
+    found, least, total = materialised(counted.join(missing.select(word), word, "left_anti")), None, 0
+    for r in sorted(found.groupBy(log.alias("log")).count().collect(), key=lambda r: -r["log"]):
+        total += r["count"]
+        if total > SMALL:
+            break
+        least = r["log"]
+    return rows if least is None else rows.join(F.broadcast(found.filter(log >= least).select(word)), word, "left_anti")
 
 
 def _sized(words: DataFrame) -> DataFrame:
@@ -71,7 +90,9 @@ def _sized(words: DataFrame) -> DataFrame:
 def unknown_words(df: DataFrame, dictionary: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(id, words): the lower-case words without digits that the dictionary doesn't know, in order; rows without any are left out."""
     own = tokens(df, id_col, text_col).filter(_is_lower(F.col("token")) & ~F.col("token").rlike(r"\d"))
-    missing = own.join(_sized(_without_known(own, dictionary)), "token", "left_semi")
+    counted = _counted(own, "token")
+    unknown = _without_known(counted, dictionary)
+    missing = _sifted(own, "token", counted, unknown).join(_sized(unknown), "token", "left_semi")
     return missing.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("words"))
 
 
@@ -88,10 +109,11 @@ def spelling_reasons(df: DataFrame, dictionary: DataFrame, id_col: str = "id", t
     capitals = (F.length(t) > 1) & (t == F.upper(t)) & (t != F.lower(t))
     checked = _is_lower(t) | F.col("opens") & ~capitals
     asked = own.select("id", "pos", "token", slip.alias("slip"), F.when(checked & slip.isNull(), t).alias("word")).filter("slip IS NOT NULL OR word IS NOT NULL")
-    forms = asked.filter("word IS NOT NULL").select("word").distinct().select("word", F.explode(F.array_distinct(F.array("word", F.lower("word")))).alias("token"))
+    vocabulary = _counted(asked, "word")
+    forms = vocabulary.select("word", F.explode(F.array_distinct(F.array("word", F.lower("word")))).alias("token"))
     known = forms.join(known_words(forms, dictionary), "token", "left_semi").select("word").distinct()
-    unknown = materialised(forms.select("word").distinct().join(known, "word", "left_anti")).withColumn("unknown", F.lit(True))
-    judged = asked.join(_sized(unknown), "word", "left")
+    unknown = materialised(vocabulary.select("word").join(known, "word", "left_anti")).withColumn("unknown", F.lit(True))
+    judged = _sifted(asked, "word", vocabulary, unknown).join(_sized(unknown), "word", "left")
     reason = F.coalesce("slip", F.when(F.col("unknown"), "unknown_word"))
     return judged.withColumn("reason", reason).filter("reason IS NOT NULL").groupBy("id").agg(F.min_by("reason", "pos").alias("reason"))
 
@@ -100,7 +122,8 @@ def run_together(df: DataFrame, dictionary: DataFrame, id_col: str = "id", text_
     """(id): rows with an unknown lower-case word of at least five letters that is two known words, each of two letters or more."""
     words = df.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(f"({fixed.LETTER}+)"), F.lit(1)))).alias("token"))
     words = words.filter((F.length("token") >= 5) & _is_lower(F.col("token")))
-    odd = _without_known(words, dictionary)
+    dictionary = materialised(dictionary.select("word").distinct())  # looked up twice
+    odd = _without_known(materialised(words.select("token").distinct()), dictionary)
     cut = odd.select("token", F.explode(F.sequence(F.lit(2), F.length("token") - 2)).alias("i"))
     cut = cut.select("token", F.substring("token", F.lit(1), F.col("i")).alias("left"), F.substring("token", F.col("i") + 1, F.length("token")).alias("right"))
     known = known_words(cut.select(F.explode(F.array("left", "right")).alias("token")), dictionary)

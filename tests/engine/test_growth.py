@@ -79,3 +79,17 @@ def test_variants_reach_python_in_small_batches(spark, monkeypatch):
     monkeypatch.setattr(noise, "materialised", lambda df, rows=None: seen.append(rows) or df)
     noise.variants(spark.createDataFrame([(1, "Some text here.")], "id long, text string"), "id", "text", 1, "s")
     assert seen == [500]
+
+
+def test_frequent_known_words_leave_before_the_shuffle(spark, monkeypatch):
+    from quern.operators import dictionary
+
+    rows = [(i, f"the cat odd{'abcdef'[i]} the cat i") for i in range(6)] + [(9, "the cat."), (10, "the sat")]
+    df, words = spark.createDataFrame(rows, "id long, text string"), spark.createDataFrame([("the",), ("cat",), ("sat",)], "word string")
+    results = []
+    for small in (500_000, 3):
+        monkeypatch.setattr(dictionary, "SMALL", small)
+        spelled, unknown = dictionary.spelling_reasons(df, words), dictionary.unknown_words(df, words)
+        assert ("LeftAnti" in _plan(spelled)) == ("LeftAnti" in _plan(unknown)) == (small == 3)
+        results.append((sorted(map(tuple, spelled.collect())), sorted((r["id"], *r["words"]) for r in unknown.collect())))
+    assert results[0] == results[1] and results[0][0] == [(i, "unknown_word") for i in range(6)]
